@@ -2,10 +2,33 @@
 
 from __future__ import annotations
 
+from gridseries.llm import chat_format, license_scan, url_filter
+from gridseries.llm.chat_format import op8_chat_format
+from gridseries.llm.lattice import op10_embedding_near_dedup
+from gridseries.llm.license_scan import op2_license_scan
+from gridseries.llm.mixing import op7_mixing
+from gridseries.llm.neighbours import op6_nearest_neighbours
+from gridseries.llm.packing import op3_best_fit_packing
+from gridseries.llm.quality import op5_quality_classifier
 from gridseries.llm.simhash import op4_simhash
+from gridseries.llm.token_files import op9_token_files
+from gridseries.llm.url_filter import op1_url_filter
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
+    "op2_license_scan": op2_license_scan,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash": op4_simhash,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op7_mixing": op7_mixing,
+    "op8_chat_format": op8_chat_format,
+    "op9_token_files": op9_token_files,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_url_filter": url_filter.ORACLE,
+    "op2_license_scan": license_scan.ORACLE,
+    "op8_chat_format": chat_format.ORACLE,
+}
