@@ -1,12 +1,12 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 Every source gets a target number of words; a document's expected number of copies is its source's
-target over the source's size. The whole copies are certain. The fractions are rounded in pairs: of
-two documents with fractional copies one passes words to the other, in a random direction whose odds
-keep both expectations, until one of them is integral. Pairs are worked off inside buckets of one
-source; each bucket leaves at most one fractional document, and these are paired again in a tree
-of buckets of buckets, until one is left per source. A source so misses its target by less than the
-size of that last document.
+target over the source's size. The whole copies are certain. The fractions are rounded by passing
+words between two partners, in a random direction whose odds keep both expectations, until one of
+them is integral. One partner is the largest document that is still fractional, the other the next
+smaller ones taken together, so the last fraction left is of a small document. Inside a bucket of one
+source all but its smallest documents are settled so; these residuals meet again in a tree of buckets
+of buckets, until one is left per source. A source so misses its target by less than a small document.
 """
 
 from __future__ import annotations
@@ -26,7 +26,9 @@ SEED = 20240101
 
 #: Documents of one bucket, on average; buckets of one round of the tree.
 BUCKET_ROWS = 4096
-FAN_IN = 1024
+FAN_IN = 128
+#: Documents that take the other part of a step together; smallest documents that a bucket passes on.
+POOL, RESERVE = 32, 32
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, most: float = MOST_COPIES) -> dict[str | None, float]:
@@ -51,44 +53,48 @@ def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS,
     return out
 
 
-def pivot(order: np.ndarray, size: np.ndarray, share: np.ndarray, draws: np.ndarray) -> np.ndarray:
-    """Round the fractions ``share`` (0..1) in the given order; at most one fraction remains.
+def pivot(size: np.ndarray, share: np.ndarray, draw: np.random.Generator, leave: int = 1) -> np.ndarray:
+    """Round the fractions ``share`` (0..1) of documents in descending size; the last ``leave`` may stay.
 
-    Words, not copies, pass between the two documents of a pair, so the expected words of the pair
-    stay as they are at every step.
+    Words, not copies, pass between the partners, so the expected words stay as they are at every
+    step; each step makes a document integral.
     """
     share = share.copy()
-    have = -1
-    for i in order:
-        if not 0.0 < share[i] < 1.0:
+    live = np.flatnonzero((share > 0) & (share < 1))
+    s, z = share[live], size[live]
+    head = 0
+    while head < len(s) - leave:
+        if not 0.0 < s[head] < 1.0:
+            head += 1
             continue
-        if have < 0:
-            have = i
-            continue
-        a, b = have, i
-        # words that a can take from b, and b from a, before one of both is integral
-        up = min((1 - share[a]) * size[a], share[b] * size[b])
-        down = min(share[a] * size[a], (1 - share[b]) * size[b])
-        words = up if draws[i] * (up + down) < down else -down
-        for k, w in ((a, words), (b, -words)):
-            share[k] += w / size[k]
-            if share[k] * size[k] < 1e-6:
-                share[k] = 0.0
-            elif (1 - share[k]) * size[k] < 1e-6:
-                share[k] = 1.0
-        fractional = [k for k in (a, b) if 0.0 < share[k] < 1.0]
-        have = fractional[0] if fractional else -1
+        near = s[head + 1 : head + 1 + 4 * POOL]
+        pool = head + 1 + np.flatnonzero((near > 0) & (near < 1))[:POOL]
+        if len(pool) < POOL:
+            rest = s[head + 1 :]
+            pool = head + 1 + np.flatnonzero((rest > 0) & (rest < 1))[:POOL]
+        if not len(pool):
+            break
+        words = z[pool].sum()
+        up = min((1 - s[head]) * z[head], s[pool].min() * words)
+        down = min(s[head] * z[head], (1 - s[pool].max()) * words)
+        moved = up if draw.random() * (up + down) < down else -down
+        s[head] += moved / z[head]
+        s[pool] -= moved / words
+        touched = np.append(pool, head)
+        s[touched] = np.where(s[touched] < 1e-9, 0.0, np.where(s[touched] > 1 - 1e-9, 1.0, s[touched]))
+    share[live] = s
     return share
 
 
 def _settle(last: bool, seed: int, level: int):
     def settle(rows: pa.Table) -> pa.Table:
-        size, draw = rows["size"].to_numpy().astype(float), rows["draw"].to_numpy()
-        draws = np.array([xxhash.xxh64_intdigest(f"{seed}:{level}:{d}") / 2.0**64 for d in draw])
-        share = pivot(np.lexsort((draw, size)), size, rows["share"].to_numpy(), draws)
+        rows = rows.take(np.lexsort((rows["draw"].to_numpy(), -rows["size"].to_numpy())))
+        place = f"{seed}:{level}:{rows['source'][0].as_py()}:{rows['bucket'][0].as_py()}"
+        draw = np.random.default_rng(xxhash.xxh64_intdigest(place))
+        share = pivot(rows["size"].to_numpy().astype(float), rows["share"].to_numpy(), draw, 1 if last else RESERVE)
         if last:
             odd = np.flatnonzero((share > 0) & (share < 1))
-            share[odd] = (draws[odd] * 7919 % 1.0 < share[odd]).astype(float)
+            share[odd] = (draw.random(len(odd)) < share[odd]).astype(float)
         return rows.set_column(rows.schema.get_field_index("share"), "share", pa.array(share))
 
     return settle

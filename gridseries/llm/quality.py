@@ -210,13 +210,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows
 
 def score_column(model: Model, text: Column) -> Column:
     """Score of a text as a double; the model is broadcast (one float per slot, a fixed size)."""
-    shared = SparkSession.active().sparkContext.broadcast(model)
+    shared = SparkSession.active().sparkContext.broadcast((model.weights, model.bias, model.slope, model.offset))
 
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        make = Slots()
+        make, fitted = Slots(), Model(*shared.value)
         for batch in batches:
-            yield pd.Series([shared.value.score(make.of(t)) for t in batch], dtype=float)
+            yield pd.Series([fitted.score(make.of(t)) for t in batch], dtype=float)
 
     return of(text)
 
