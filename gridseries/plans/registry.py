@@ -1,11 +1,19 @@
-"""Registered queries over the given tables and the SQL that must give the same rows."""
+"""All registered queries over the given tables, and the SQL that must give the same rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from gridseries.plans import (
+    calendar_queries,
+    cell_queries,
+    lake_queries,
+    market_queries,
+    store_queries,
+)
+from gridseries.plans.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "calendar_queries", "cell_queries", "flagship", "lake_queries", "market_queries", "store_queries"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
