@@ -4,13 +4,21 @@ Conversations that share their first turns share nodes: a node is the sequence o
 node's text is emitted once, in depth-first order of its tree, with the position it has inside a
 conversation and the intervals of the layout that its ancestors take, which it may attend to.
 
-A node is named by a digest of its whole sequence, so nodes are found by grouping alone. Depth-first
-order is the order of the digest paths; the layout's offsets are sums over a range-partitioned sort,
-so no tree, however many conversations share its first turn, has to fit into one task.
+A node is named by running sums of hashes of its turns and their places, so nodes are found by a
+window and grouping, and nothing of a conversation's length squared is ever made. Distinct paths are
+sorted; a node belongs to the first path that holds it, and the order of (path, depth) is depth-first
+order. What a path owns is one run of the layout, so the ancestors of a node are a few runs. The
+offsets are sums over the range-partitioned sort: no tree has to fit into one task, however many
+conversations share its first turn.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,139 +40,155 @@ def escape(text: Column) -> Column:
     return text
 
 
-def unescape(text: Column) -> Column:
-    """Inverse of :func:`escape`: the coded backslash is set aside while the others are undone."""
-    text = F.replace(text, F.lit("\\\\"), F.lit("\\b"))
-    for raw, coded in ESCAPES[1:]:
-        text = F.replace(text, F.lit(coded), F.lit(raw))
-    return F.replace(text, F.lit("\\b"), F.lit("\\"))
-
-
 def format_turn(role: Column, text: Column) -> Column:
     return F.concat(F.lit(OPEN), escape(role), F.lit(NAME_END), escape(text), F.lit(CLOSE))
 
 
-def _paths(turns: DataFrame) -> DataFrame:
-    """conv_id and, for every conversation, its turns with the digest path that leads to each."""
-    ordered = turns.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("turn").isNotNull().alias("has_turn"), "turn", "role", "text"))).alias("turns")
+def _named(turns: DataFrame) -> DataFrame:
+    """Rows with ``idx`` (0, 1, ... in the conversation), ``node`` and ``parent`` (null for a first turn)."""
+    rows = turns.select(
+        F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    start = F.struct(F.lit("").alias("node"), F.array().cast("array<struct<node:string,parent:string,role:string,text:string>>").alias("path"))
-
-    def step(state: Column, turn: Column) -> Column:
-        # lengths keep apart what a plain join of role and text would confuse
-        node = F.sha2(F.concat_ws("|", state["node"], F.length(turn["role"]).cast("string"), turn["role"], turn["text"]), 256)
-        return F.struct(
-            node.alias("node"),
-            F.concat(state["path"], F.array(F.struct(node.alias("node"), state["node"].alias("parent"), turn["role"].alias("role"), turn["text"].alias("text")))).alias("path"),
-        )
-
-    return ordered.select("conv_id", F.aggregate("turns", start, step)["path"].alias("path"))
+    order = Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    rows = rows.withColumn("idx", (F.row_number().over(order) - 1).cast("long"))
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    # two independent 64-bit hashes; as decimals their sums neither overflow nor depend on the engine's checks
+    total = lambda seed: F.sum(F.xxhash64("idx", "role", "text", F.lit(seed)).cast("decimal(20,0)")).over(running).cast("string")
+    rows = rows.withColumn("node", F.concat_ws("|", "idx", total(1), total(2)))
+    return rows.withColumn("parent", F.lag("node").over(order)).drop("turn")
+
+
+def _offsets(frame: DataFrame, size: str) -> DataFrame:
+    """``part, base``: sum of ``size`` over the parts before, one row per part (the only sums that meet in one task)."""
+    totals = frame.groupBy("part").agg(F.sum(size).alias("total"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).cast("long").alias("base"))
 
 
-def format_conversations(
-    turns: DataFrame, trained_roles: tuple[str, ...] = TRAINED_ROLES, partitions: int | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(nodes, conversations).
+def format_conversations(turns: DataFrame, trained_roles: tuple[str, ...] = TRAINED_ROLES, partitions: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, paths, conversations).
 
-    ``nodes``: ``node, parent, depth, tree, text`` (formatted), ``start`` and ``end`` in the layout
-    of all trees, ``position`` of its first token inside a conversation, ``ancestors`` (array of
-    ``start, end``, merged where they touch), ``loss_start`` and ``loss_end`` in the layout (null
-    without a loss). Tokens are code points. ``conversations``: ``conv_id, nodes`` (the path).
+    ``nodes``: ``node, parent, depth, text`` (formatted), ``start`` and ``end`` in the layout of all
+    trees, ``position`` of its first token inside a conversation, ``ancestors`` (array of ``start,
+    end``, merged where they touch), ``loss_start`` and ``loss_end`` in the layout (null without a
+    loss). Tokens are code points. ``paths``: ``leaf, idx, node`` of every distinct conversation.
+    ``conversations``: ``conv_id, leaf``.
 
     Rows are ordered by turn, null turns first; rows of one turn are ordered by role and text, and
     repeated rows are turns of their own. Null texts and roles count as empty. Rows with a null
     ``conv_id`` make one conversation. Other columns are ignored; an empty table gives none.
     """
-    rows = turns.select(
-        "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    paths = cut(_paths(rows))
-    names = F.transform("path", lambda x: x["node"])
-    conversations = paths.select("conv_id", names.alias("nodes"))
-    exploded = paths.select(names.alias("names"), F.posexplode("path").alias("depth", "x"))
-    trained = F.col("role").isin(*trained_roles)
-    nodes = (
-        exploded.select("depth", "x.*", F.slice("names", 1, F.col("depth") + 1).alias("trail"))
-        .dropDuplicates(["node"])
-        .withColumn("tree", F.col("trail")[0])
-        .withColumn("lead", F.length(F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(NAME_END))))
-        .withColumn("inner", F.length(escape(F.col("text"))))
-        .withColumn("trained", trained)
-        .withColumn("text", format_turn(F.col("role"), F.col("text")))
-        .withColumn("size", F.length("text").cast("long"))
-        .drop("role")
+    rows = cut(_named(turns))
+    leaves = rows.groupBy("conv").agg(F.max_by("node", "idx").alias("leaf"))
+    conversations = cut(leaves)
+    one = conversations.groupBy("leaf").agg(F.min_by("conv", F.struct(F.col("conv").isNotNull(), "conv")).alias("of"))
+    paths = rows.join(one, rows["conv"].eqNullSafe(one["of"])).select("leaf", "idx", "node", "parent", "role", "text")
+    # distinct paths in order
+    count = partitions or max(1, int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    trails = paths.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "node"))), lambda x: x["node"]).alias("trail"))
+    ranked = cut(
+        trails.repartitionByRange(count, "trail").sortWithinPartitions("trail")
+        .select("leaf", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("rank"))
     )
-    count = partitions or max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sorted_nodes = cut(
-        nodes.repartitionByRange(count, "trail").sortWithinPartitions("trail").withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
-    )
-    # one row per partition: the only sums that meet in one task
-    parts = sorted_nodes.groupBy("part").agg(F.sum("size").alias("total"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    paths = cut(paths.join(ranked, "leaf"))
+    # a node belongs to the first path that holds it
+    lead = F.length(F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(NAME_END)))
+    nodes = paths.groupBy("node").agg(
+        F.min_by(F.struct("part", "leaf", "idx", "parent", "role", "text"), "rank").alias("x"), F.min("rank").alias("rank")
+    ).select("node", "rank", "x.*")
+    nodes = nodes.select(
+        "node", "parent", F.col("idx").alias("depth"), "part", "rank", F.col("leaf").alias("owner"),
+        format_turn(F.col("role"), F.col("text")).alias("text"),
+        F.when(F.col("role").isin(*trained_roles), F.struct(lead.alias("lead"), F.length(escape(F.col("text"))).alias("inner"))).alias("loss"),
+    ).withColumn("size", F.length("text").cast("long"))
+    nodes = cut(nodes)
+    within = Window.partitionBy("part").orderBy("rank", "depth").rowsBetween(Window.unboundedPreceding, -1)
     laid = (
-        sorted_nodes.join(F.broadcast(offsets), "part")
-        .withColumn("start", F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+        nodes.join(_offsets(nodes, "size"), "part")
+        .withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0)))
         .withColumn("end", F.col("start") + F.col("size"))
     )
-    laid = cut(laid.select("node", "parent", "depth", "tree", "trail", "text", "size", "start", "end", "lead", "inner", "trained"))
-    # ancestors are looked up by name: as many rows as nodes have ancestors, and a text never travels
-    spans = laid.select(F.col("node").alias("a_node"), F.col("start").alias("a_start"), F.col("end").alias("a_end"))
-    wanted = laid.select("node", F.explode(F.slice("trail", 1, F.col("depth"))).alias("a_node"))
-    found = (
-        wanted.join(spans, "a_node").groupBy("node")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("a_start").alias("start"), F.col("a_end").alias("end")))).alias("spans"))
+    laid = cut(laid.select("node", "parent", "depth", "owner", "text", "size", "start", "end", "loss"))
+    # the runs of other owners on each path: these come before what the path owns itself
+    spans = laid.select("node", "owner", "start", "end")
+    before = (
+        paths.select("leaf", "node").join(spans, "node").where("owner <> leaf")
+        .groupBy("leaf", "owner").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("before"))
     )
+    runs = laid.groupBy("owner").agg(F.min("start").alias("run")).join(before, F.col("owner") == F.col("leaf"), "left").drop("leaf")
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    own = F.when(F.col("run") < F.col("start"), F.array(F.struct(F.col("run").alias("start"), F.col("start").alias("end")))).otherwise(empty)
 
     def merge(have: Column, span: Column) -> Column:
-        last = F.element_at(have, -1)
-        touching = (F.size(have) > 0) & (F.try_element_at(have, F.lit(-1))["end"] == span["start"])
+        last = F.try_element_at(have, F.lit(-1))
         grown = F.concat(F.slice(have, 1, F.greatest(F.size(have) - 1, F.lit(0))), F.array(F.struct(last["start"].alias("start"), span["end"].alias("end"))))
-        return F.when(touching, grown).otherwise(F.concat(have, F.array(span)))
-
-    size_of = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
-    out = laid.join(found, "node", "left").select(
-        "node", "parent", "depth", "tree", "text", "start", "end",
-        F.coalesce(size_of, F.lit(0)).alias("position"),
-        F.coalesce(F.aggregate("spans", empty, merge), empty).alias("ancestors"),
-        F.when(F.col("trained"), F.col("start") + F.col("lead")).alias("loss_start"),
-        F.when(F.col("trained"), F.col("start") + F.col("lead") + F.col("inner")).alias("loss_end"),
+        return F.when(last["end"] == span["start"], grown).otherwise(F.concat(have, F.array(span)))
+
+    out = laid.join(runs, "owner").withColumn("spans", F.concat(F.coalesce("before", empty), own)).select(
+        "node", "parent", "depth", "text", "start", "end",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"]).alias("position"),
+        F.aggregate("spans", empty, merge).alias("ancestors"),
+        (F.col("start") + F.col("loss.lead")).alias("loss_start"),
+        (F.col("start") + F.col("loss.lead") + F.col("loss.inner")).alias("loss_end"),
     )
-    return out, conversations
+    return out, paths.select("leaf", "idx", "node"), conversations.select(F.col("conv").alias("conv_id"), "leaf")
+
+
+_PARSE = re.compile(re.escape(OPEN) + "(.*?)" + re.escape(NAME_END) + "(.*)" + re.escape(CLOSE), re.DOTALL)
+_UNDO = {coded: raw for raw, coded in ESCAPES}
 
 
-def read_back(nodes: DataFrame, conversations: DataFrame) -> DataFrame:
+def undo(text: str) -> str:
+    return re.sub(r"\\.", lambda m: _UNDO[m[0]], text, flags=re.DOTALL)
+
+
+def read_back(nodes: DataFrame, paths: DataFrame, conversations: DataFrame) -> DataFrame:
     """The conversations as the formatted output has them: digests and lengths of each.
 
-    Works on the emitted texts, positions and loss spans alone: turns are parsed out of the texts
-    by the template and put in order of their positions.
+    Works on the emitted texts, positions and loss spans alone: the nodes of a path are put in order of
+    their positions and parsed by the template. A task streams over the turns of its paths, so a
+    conversation of any length takes the memory of a batch.
     """
-    leaf = conversations.withColumn("leaf", F.element_at("nodes", -1))
-    distinct = leaf.select("leaf", "nodes").dropDuplicates(["leaf"])
-    pattern = "(?s)^### (.*?): (.*)</turn>\\n$"
-    head = F.regexp_extract("text", pattern, 1)
-    body = F.regexp_extract("text", pattern, 2)
-    masked = F.substring(F.col("text"), (F.col("loss_start") - F.col("start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
-    read = nodes.select(
-        F.col("node").alias("of"), "position", F.length("text").alias("size"),
-        F.concat(unescape(head), F.lit("\n"), unescape(body), F.lit("\n")).alias("turn_text"),
-        F.when(F.col("loss_start").isNotNull(), unescape(masked)).otherwise("").alias("loss_text"),
+    emitted = nodes.select("node", "position", "text", (F.col("loss_start") - F.col("start")).alias("loss_at"), (F.col("loss_end") - F.col("start")).alias("loss_to"))
+    ordered = (
+        paths.select("leaf", "node").join(emitted, "node").drop("node")
+        .repartition("leaf").sortWithinPartitions("leaf", "position")
     )
-    per_leaf = (
-        distinct.select("leaf", F.explode("nodes").alias("of")).join(read, "of").groupBy("leaf")
-        .agg(F.array_sort(F.collect_list(F.struct("position", "size", "turn_text", "loss_text"))).alias("x"))
-        .select(
-            "leaf", F.size("x").cast("long").alias("n_turns"),
-            F.sha2(F.concat_ws("", F.transform("x", lambda t: t["turn_text"])), 256).alias("turns_sha256"),
-            F.concat_ws("", F.transform("x", lambda t: t["loss_text"])).alias("loss"),
-            F.aggregate("x", F.lit(0).cast("long"), lambda s, t: s + t["size"]).alias("formatted_chars"),
-        )
-        .select("leaf", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
-    )
-    return leaf.select("conv_id", "leaf").join(per_leaf, "leaf").drop("leaf")
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaf, state = None, None
+        schema = pa.schema([("leaf", pa.string()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+
+        def row() -> tuple:
+            return leaf, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]
+
+        for batch in batches:
+            done = []
+            columns = (batch.column(c).to_pylist() for c in ("leaf", "position", "text", "loss_at", "loss_to"))
+            for of, position, text, at, to in zip(*columns, strict=True):
+                if of != leaf:
+                    if state:
+                        done.append(row())
+                    leaf, state = of, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                if position != state[4]:
+                    raise ValueError("the positions of a conversation leave a gap")
+                role, body = map(undo, _PARSE.fullmatch(text).groups())
+                state[0] += 1
+                state[1].update(f"{role}\n{body}\n".encode())
+                if at is not None:
+                    trained = undo(text[at:to])
+                    state[2] += len(trained)
+                    state[3].update(trained.encode())
+                state[4] += len(text)
+            if done:
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in done], schema=schema)
+        if state:
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row(), strict=True))], schema=schema)
+
+    read = ordered.mapInArrow(digest, "leaf string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return conversations.join(read, "leaf").drop("leaf")
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
