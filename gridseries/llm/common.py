@@ -56,9 +56,9 @@ def usable_vector(embedding: Column) -> Column:
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph by alternating star contraction.
 
-    ``edges`` has two long columns ``u`` and ``v``. The result has one row for each node that has
-    an edge to another node: ``node`` and ``root``, the smallest node of its component. Self loops,
-    repeated edges and nulls are ignored; no edges give an empty frame.
+    ``edges`` has two long columns ``u`` and ``v``. The result has one row for each node but
+    the smallest of its component: ``node`` and ``root``, that smallest one (so a node without a row is
+    its own root). Self loops, repeated edges and nulls are ignored; no edges give an empty frame.
 
     Every round is two aggregations and joins on node keys (no neighbour list is ever gathered), is
     cut by a checkpoint, and the driver sees only two numbers per round. Raises if the rounds, which
