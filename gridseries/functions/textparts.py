@@ -10,7 +10,7 @@ GREEK_FROM = "ΑΆΒΓΔΕΈΖΗΉΙΊΪΚΛΜΝΞΟΌΠΡΣΤΥΎΫΦΩΏαάβ
 GREEK_TO = "AABGDEEZIIIIIKLMNXOOPRSTYYYFOOaabgdeeziiiiiiklmnxooprsstyyyyfoo"
 LATIN_FROM = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöøùúûüýÿ"
 LATIN_TO = "AAAAAACEEEEIIIINOOOOOOUUUUYaaaaaaceeeeiiiinoooooouuuuyy"
-DIGRAPHS = [("ΟΥ", "OU"), ("Ού", "Ou"), ("Ου", "Ou"), ("ού", "ou"), ("ου", "ou"), ("Θ", "TH"), ("θ", "th"), ("Χ", "CH"), ("χ", "ch"), ("Ψ", "PS"), ("ψ", "ps"), ("ß", "ss"), ("Æ", "AE"), ("æ", "ae"), ("œ", "oe")]
+DIGRAPHS = [("ΟΥ", "OU"), ("Ού", "Ou"), ("Ου", "Ou"), ("ού", "ou"), ("ου", "ou"), ("Θ", "Th"), ("θ", "th"), ("Χ", "Ch"), ("χ", "ch"), ("Ψ", "Ps"), ("ψ", "ps"), ("ß", "ss"), ("Æ", "AE"), ("æ", "ae"), ("œ", "oe")]
 
 
 def transliterate(text: Column) -> Column:

@@ -9,7 +9,6 @@ from gridseries.operators import market
 from gridseries.plans.base import HOURLY_SQL, day, hourly, query, table
 from gridseries.plans.cell_queries import CALENDAR_SQL, DAYS_SQL, day_calendar, days, rounded
 
-SIDE = F.when(F.col("l_linestatus") == "O", "Buy").otherwise("Sell")
 SIDE_SQL = "CASE WHEN l_linestatus = 'O' THEN 'Buy' ELSE 'Sell' END"
 ASSETS = ["RES", "Lignite", "HV", "LV", "PUMP", "GR-AL", "AL-GR", "GR-IT", "IT-GR"]
 ASSET_SQL = "[" + ", ".join(f"'{a}'" for a in ASSETS) + "][1 + l_partkey % 9]"
@@ -19,7 +18,7 @@ def trades(spark, sf):
     """``ts, key, side, asset, class, quantity, price`` of every line."""
     asset = F.element_at(F.array(*map(F.lit, ASSETS)), (F.col("l_partkey") % 9 + 1).cast("int"))
     return table(spark, sf, "lineitem").select(
-        F.col("l_shipdate").alias("ts"), F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("line"), "l_partkey", "l_suppkey", SIDE.alias("side"), asset.alias("asset"),
+        F.col("l_shipdate").alias("ts"), F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("line"), "l_partkey", "l_suppkey", F.when(F.col("l_linestatus") == "O", "Buy").otherwise("Sell").alias("side"), asset.alias("asset"),
         F.col("l_returnflag").alias("class"), F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"),
     )
 
@@ -230,14 +229,12 @@ def directional_capacity(spark, sf):
     return market.directional_capacity(files, calendar, direction).select(day("date"), "import", "export")
 
 
-MAINTENANCE = F.concat(
-    F.lit("off_"), (F.col("o_custkey") % 30).cast("string"), F.lit(" days_"), F.date_format("o_orderdate", "d/M/yyyy"), F.lit("_to_"),
-    F.when(F.col("o_orderkey") % 10 > 0, F.date_format(F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_custkey") % 30).cast("int")), "d/M/yyyy")).otherwise("open"),
-)
-
-
 def maintenance(spark, sf):
-    rows = table(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_orderkey", (F.col("o_custkey") % 40).alias("unit"), F.col("o_orderkey").alias("ord"), (F.col("o_custkey") % 90).cast("double").alias("mw"), MAINTENANCE.alias("text"))
+    text = F.concat(
+        F.lit("off_"), (F.col("o_custkey") % 30).cast("string"), F.lit(" days_"), F.date_format("o_orderdate", "d/M/yyyy"), F.lit("_to_"),
+        F.when(F.col("o_orderkey") % 10 > 0, F.date_format(F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_custkey") % 30).cast("int")), "d/M/yyyy")).otherwise("open"),
+    )
+    rows = table(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_orderkey", (F.col("o_custkey") % 40).alias("unit"), F.col("o_orderkey").alias("ord"), (F.col("o_custkey") % 90).cast("double").alias("mw"), text.alias("text"))
     return market.maintenance_extract(rows)
 
 
