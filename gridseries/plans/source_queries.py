@@ -53,11 +53,7 @@ def read_cells(spark, sf):
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount"]
     # one file per sheet, its rows in order
     first.repartition("sheet").sortWithinPartitions("sheet", *order).select("sheet", "value").write.partitionBy("sheet").text(path)
-    sheet = F.regexp_extract("path", "/sheet=([^/]+)/", 1)
-    named = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    rows = named.select(sheet.alias("file"), F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("row", "line"))
-    cells = rows.select("file", "row", F.posexplode(F.split("line", ",")).alias("col", "cell"))
-    return cells.withColumn("cell", F.nullif("cell", F.lit("")))
+    return io.read_cells(spark, path, name_pattern="/sheet=([^/]+)/")
 
 
 def leveled(spark, sf):

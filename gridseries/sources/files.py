@@ -75,16 +75,17 @@ def ladder_header(spark: SparkSession, path: str, sep: str = ",") -> list[tuple[
     return out
 
 
-def read_cells(spark: SparkSession, path: str, sep: str = ",", tags: dict[str, str] | None = None) -> DataFrame:
+def read_cells(spark: SparkSession, path: str, sep: str = ",", tags: dict[str, str] | None = None, name_pattern: str = "([^/]+)$") -> DataFrame:
     """Cell grid ``file, row, col, cell`` of sheets kept as one text file each; empty cells are null.
 
-    A file is one sheet and is read whole, so its rows keep their order. ``tags`` renames files (sheet
-    locators) by name.
+    A file is one sheet and is read whole, so its rows keep their order. The group of ``name_pattern``
+    in the path names it; ``tags`` renames files (sheet locators) by that name.
     """
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    name = F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 1)
     if tags:
         name = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in tags.items() for x in p]), name), name)
-    lines = spark.read.text(path, wholetext=True).select(name.alias("file"), F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("row", "line"))
+    sheets = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    lines = sheets.select(name.alias("file"), F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("row", "line"))
     cells = lines.select("file", "row", F.posexplode(F.split("line", F.lit(f"\\Q{sep}\\E"))).alias("col", "cell"))
     return cells.withColumn("cell", F.nullif(F.trim("cell"), F.lit("")))
 

@@ -242,3 +242,24 @@ def test_user_functions(spark):
     frame = series(spark, [("a", H(1), 1.0), ("b", H(1), 2.0)])
     out = catalog.transform_hook(frame, lambda pdf: pdf.assign(value=pdf["value"].cumsum()), frame.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", "), keys=["property"])
     assert values(out, "property") == [1.0, 2.0]
+
+
+def test_recipe_of_a_schedule(spark):
+    from gridseries.plans import recipes
+
+    day = days(spark, "2024-06-01")
+    calendar = calendars.period_calendar(day, "EET", resolution_min=720)
+    periods = day.select(F.lit("f").alias("file"), "period")
+    cues = [cells.Cue("Thermal", "Thermal Units", "Total Thermal Production", False), cells.Cue("Hydro", "Hydro Units", "Total Hydro Production", False)]
+    got = recipes.run(grid(spark), recipes.schedule(cues, calendar, periods))
+    assert {(r["section"], r["property"], r["pos"], r["value"]) for r in got.where("property like 'UNIT%'").collect()} == {
+        ("Thermal", "UNIT_A", 0, 5.0), ("Thermal", "UNIT_A", 1, 6.0), ("Hydro", "UNIT_H", 0, 2.0), ("Hydro", "UNIT_H", 1, 0.0)
+    }
+
+
+def test_recipe_of_market_results(spark):
+    from gridseries.plans import recipes
+
+    rows = [(0, "Sell", "x", "RES", 10.0), (0, "Buy", "x", "RES", 3.0), (0, "Buy", "GR-AL", "Exports", 4.0), (0, "Sell", "AL-GR", "Imports", 6.0)]
+    got = recipes.run(spark.createDataFrame(rows, "ts int, side string, asset string, classification string, value double"), recipes.market_results())
+    assert {r["asset"]: r["value"] for r in got.collect()} == {"RES": 7, "GR-AL": -2, "Demand": 0, "Generation": 7, "NetMarketSchedule": -2}
