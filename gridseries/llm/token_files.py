@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -32,44 +34,116 @@ SAMPLE_ROWS, SAMPLE_CHARS = 2000, 8000
 #: A shard is closed at so many documents or compressed bytes.
 SHARD_ROWS, SHARD_BYTES = 1024, 4 << 20
 #: Words whose ids a task remembers.
-MOST_WORDS = 200_000
+MOST_WORDS = 400_000
+
+
+#: Byte-level tokenizers write a byte that is no visible Latin-1 character as one from U+0100 on, in turn.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 
 
 class WordEncoder:
-    """Ids of a text as little-endian bytes, by way of a bounded memory of white-space words.
+    """Ids of a text as little-endian bytes, by way of a bounded memory of its words.
 
     The tokenizer drops white space and never joins what it separates, so a text's ids are the ids of
-    its words in turn.
+    its words in turn. It parts letters and digits from the stops after them and folds case, so a
+    word is looked up without its closing stops, and in lower case if it is of ASCII letters alone.
     """
 
+    STOPS = ".,;:!?"
+
     def __init__(self, tokenizer_json: str, width: int, end_id: int):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.model = self.tokenizer.model
+        # whether the shorter way gives the same ids is seen on words of every Latin-1 letter
+        self.plain = True
+        letters = [chr(c) for c in range(256) if chr(c).isalpha()]
+        for probe in [*letters, *(f"ab{x}cd" for x in letters), *(f"{x.upper()}e" for x in letters)]:
+            coded = self._letters(probe)
+            if coded is not None and [t.id for t in self.model.tokenize(coded)] != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+                self.plain = False
         self.dtype = f"<u{width}"
         self.end = np.array([end_id], self.dtype).tobytes()
         self.words: dict[str, bytes] = {"": b""}
+        self.cores: dict[str, bytes] = {"": b""}
+        # what was remembered before; words still in use move on from here when the memory is full
+        self.old_words: dict[str, bytes] = {}
+        self.old_cores: dict[str, bytes] = {}
+
+    def _parts(self, word: str) -> tuple[str, str]:
+        core = word.rstrip(self.STOPS)
+        # a letter may fold to one with a mark, which would stick to the stops
+        if not core or not core[-1].isalnum() or not core[-1].lower().isalnum():
+            return word, ""
+        return (core.lower() if core.isascii() and core.isalpha() else core), word[len(core) :]
+
+    def _letters(self, core: str) -> str | None:
+        """What the tokenizer makes of a word of Latin-1 letters before its model: the word in lower case,
+        its bytes as the characters of byte-level tokenizers. None for other words."""
+        if not self.plain or not core.isalpha():
+            return None
+        try:
+            core.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return core.lower().encode("utf-8").decode("latin-1").translate(BYTE_CHARACTERS)
+
+    def _learn(self, new: list[str]) -> None:
+        parts = [self._parts(w) for w in new]
+        if len(self.cores) + 2 * len(new) > MOST_WORDS:
+            self.old_cores, self.cores = self.cores, {"": b""}
+        unknown = []
+        for core in {x for p in parts for x in p}.difference(self.cores):
+            if core in self.old_cores:
+                self.cores[core] = self.old_cores[core]
+            else:
+                unknown.append(core)
+        odd = []
+        for core in unknown:
+            letters = self._letters(core)
+            if letters is None:
+                odd.append(core)
+            else:
+                self.cores[core] = np.array([t.id for t in self.model.tokenize(letters)], self.dtype).tobytes()
+        for start in range(0, len(odd), 1024):
+            some = odd[start : start + 1024]
+            for core, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.cores[core] = np.array(got.ids, self.dtype).tobytes()
+        for word, (core, stops) in zip(new, parts, strict=True):
+            self.words[word] = self.cores[core] + self.cores[stops]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out = []
         for text in texts:
             words = (text or "").replace("\n", " ").split(" ")
-            have = self.words
-            new = [w for w in dict.fromkeys(words) if w not in have]
-            if new:
-                if len(have) + len(new) > MOST_WORDS:
-                    have.clear()
-                    have[""] = b""
-                    new = [w for w in dict.fromkeys(words) if w]
-                for start in range(0, len(new), 4096):
-                    part = new[start : start + 4096]
-                    for word, got in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                        have[word] = np.array(got.ids, self.dtype).tobytes()
-            out.append(b"".join(map(have.__getitem__, words)) + self.end)
+            new = set(words).difference(self.words)
+            if new and len(self.words) + len(new) > MOST_WORDS:
+                self.old_words, self.words = self.words, {"": b""}
+                new = set(words).difference(self.words)
+            unknown = []
+            for word in new:
+                if word in self.old_words:
+                    self.words[word] = self.old_words[word]
+                else:
+                    unknown.append(word)
+            if unknown:
+                self._learn(unknown)
+            out.append(b"".join(map(self.words.__getitem__, words)) + self.end)
         return out
 
 
+def _encoder(tokenizer_json: str, width: int, end_id: int) -> WordEncoder:
+    """The encoder of this Python process: a worker keeps its words from task to task."""
+    memory = sys.modules.setdefault("gridseries_worker_memory", types.ModuleType("gridseries_worker_memory"))
+    key = (hash(tokenizer_json), width, end_id)
+    if getattr(memory, "key", None) != key:
+        memory.key, memory.encoder = key, WordEncoder(tokenizer_json, width, end_id)
+    return memory.encoder
+
+
 def _width(tokenizer_json: str, end_id: int) -> int:
     from tokenizers import Tokenizer
 
@@ -79,9 +153,11 @@ def _width(tokenizer_json: str, end_id: int) -> int:
 
 def train_dictionary(docs: DataFrame, tokenizer_json: str, width: int, end_id: int = END_ID) -> bytes:
     """Dictionary trained on a bounded sample of serialized documents; empty if they are too few."""
-    sample = (
-        docs.where(F.length("text").between(1, SAMPLE_CHARS)).select("text")
-        .orderBy(F.xxhash64("text", F.lit(9)), "text").limit(SAMPLE_ROWS).collect()
+    # a share of the ids that gives about SAMPLE_ROWS rows, so that no task sends more than its part
+    share = max(1, docs.count() // SAMPLE_ROWS)
+    sample = sorted(
+        docs.where((F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(share)) == 0) & F.length("text").between(1, SAMPLE_CHARS))
+        .select("text").limit(2 * SAMPLE_ROWS).collect()
     )
     encoder = WordEncoder(tokenizer_json, width, end_id)
     arrays = encoder.encode([r["text"] for r in sample])
@@ -113,7 +189,7 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         json, trained, bounds = shared.value
-        encoder = WordEncoder(json, width, end_id)
+        encoder = _encoder(json, width, end_id)
         pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
         for batch in batches:
             ids = batch.column("doc_id")
