@@ -33,10 +33,6 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def word_count(text: Column) -> Column:
     """Number of words of a text as a long; null counts as 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
