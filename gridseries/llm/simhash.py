@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.llm.common import components, cut
+from gridseries.llm.common import components, cut, text_key
 
 #: Values the fingerprint's definition fixes.
 SEED = 42
@@ -24,14 +24,7 @@ BITS = 64
 MAX_DISTANCE = 3
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """Unsigned 64-bit SimHash of one text; a null or wordless text has fingerprint zero."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    runs = [words] if len(words) < shingle else zip(*(words[i:] for i in range(shingle)), strict=False)
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    hashes = np.fromiter((digest(join(run), SEED) for run in runs), dtype="<u8")
+def _majority(hashes: np.ndarray) -> int:
     ones = np.zeros(BITS, dtype=np.int64)
     for start in range(0, len(hashes), 8192):  # a very long text is counted in pieces
         piece = hashes[start : start + 8192].view(np.uint8).reshape(-1, 8)
@@ -39,13 +32,34 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprint_column(text: Column, shingle: int = 3) -> Column:
-    """The fingerprint as a signed long column."""
+def fingerprints(text: str | None, shingle: int = 3, count: int = 1) -> list[int]:
+    """Unsigned 64-bit SimHashes of one text; those after the first are of its hashes mixed anew. A
+    null or wordless text has fingerprints zero."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return [0] * count
+    runs = [words] if len(words) < shingle else zip(*(words[i:] for i in range(shingle)), strict=False)
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    hashes = np.fromiter((digest(join(run), SEED) for run in runs), dtype="<u8")
+    out = [_majority(hashes)]
+    for k in range(1, count):
+        mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(digest(str(k), SEED) | 1)
+        out.append(_majority(mixed ^ (mixed >> np.uint64(32))))
+    return out
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    return fingerprints(text, shingle)[0]
+
 
-    @F.pandas_udf("long")
+def fingerprint_column(text: Column, shingle: int = 3, count: int = 1) -> Column:
+    """The fingerprints as an array of signed longs."""
+
+    @F.pandas_udf("array<long>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series(np.array([fingerprint(t, shingle) for t in batch], dtype=np.uint64).view(np.int64))
+            made = np.array([fingerprints(t, shingle, count) for t in batch], dtype=np.uint64).view(np.int64)
+            yield pd.Series(list(made.reshape(len(batch), count)), dtype=object)
 
     return of(text)
 
@@ -132,24 +146,35 @@ def near_duplicates(
     shingle: int = 3,
     max_distance: int = MAX_DISTANCE,
     bucket_limit: int = 256,
+    count: int = 1,
 ) -> DataFrame:
     """One row per input row: id, ``text_key``, ``fp`` (long) and ``component_id``.
 
-    ``component_id`` is the smallest id reachable over links, the row's own included. Rows of equal
-    text have equal fingerprints and so one component. Null texts count as empty; wordless texts
-    share fingerprint zero. Rows with a null id are kept and linked by their text, but never name a
-    component (null only if no member has an id). Repeated rows stay repeated, other columns are
-    ignored, an empty table gives an empty result.
+    ``component_id`` is the smallest id reachable over links, the row's own included. With a ``count``
+    above 1 texts link if any of so many fingerprints of theirs link, which finds more of the near copies
+    whose first fingerprints lie just too far apart. Rows of equal text have equal fingerprints and so
+    one component. Null texts count as empty; wordless texts share fingerprint zero. Rows with a null id
+    are kept and linked by their text, but never name a component (null only if no member has an id).
+    Repeated rows stay repeated, other columns are ignored, an empty table gives an empty result.
     """
     rows = cut(
         docs.select(
-            F.col(id_col).alias("id"),
-            F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
-            fingerprint_column(F.col(text_col), shingle).alias("fp"),
-        )
+            F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("text_key"), fingerprint_column(F.col(text_col), shingle, count).alias("fps")
+        ).select("id", "text_key", F.col("fps")[0].alias("fp"), "fps")
     )
+    # equal first fingerprints link, so the first fingerprint stands for all texts that have it
     kinds = rows.groupBy("fp").agg(F.min("id").alias("least_id"))
-    roots = components(links(kinds, max_distance, bucket_limit))
+    edges = links(kinds, max_distance, bucket_limit)
+    for k in range(1, count):
+        also = rows.select("fp", F.col("fps")[k].alias("also")).distinct()
+        named = also.groupBy("also").agg(F.min("fp").alias("name"))
+        found = links(named.select(F.col("also").alias("fp")), max_distance, bucket_limit)
+        u, v = (named.select(F.col("also").alias(c), F.col("name").alias(f"{c}_name")) for c in ("u", "v"))
+        linked = found.join(u, "u").join(v, "v").select(F.col("u_name").alias("u"), F.col("v_name").alias("v"))
+        equal = also.join(named, "also").select(F.col("fp").alias("u"), F.col("name").alias("v")).where("u <> v")
+        # cut for each fingerprint: the driver never holds one plan of them all
+        edges = cut(edges.unionByName(linked).unionByName(equal))
+    roots = components(edges)
     rooted = kinds.join(roots, kinds["fp"] == roots["node"], "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
@@ -175,7 +200,7 @@ def one_per_group(docs: DataFrame, **options) -> DataFrame:
     )
     keep = keep.select(F.col("best.doc_id").alias("keep_id"), F.col("best.text_key").alias("keep_key"))
     columns = docs.columns
-    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    keyed = docs.withColumn("__key", text_key(F.col("text")))
     kept = keyed.join(
         keep, keyed["doc_id"].eqNullSafe(keep["keep_id"]) & (keyed["__key"] == keep["keep_key"]), "left_semi"
     )

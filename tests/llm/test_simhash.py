@@ -76,3 +76,35 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, k) for k in range(6, 40)] + [(7, 7), (200, 201), (201, 200), (None, 3)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 100 for i in range(101, 161)}, **{k: 5 for k in range(6, 40)}, 201: 200}
+
+
+def test_more_fingerprints_find_more_near_copies(spark):
+    random.seed(9)
+    rows = []
+    for k in range(60):
+        words = [f"w{random.randrange(4000)}" for _ in range(120)]
+        copy = list(words)
+        for at in random.sample(range(120), 2):
+            copy[at] = "changed"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [simhash.one_per_group(docs, count=n).count() for n in (1, 6)]
+    assert 60 <= kept[1] < kept[0] <= 120
+    ids = {r["doc_id"] // 2 for r in simhash.one_per_group(docs, count=6).collect()}
+    assert len(ids) == 60  # no unlike document goes
+    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, count=6).collect()}
+    fps = [simhash.fingerprints(t, count=6) for _, t in rows]
+    label = brute_any(fps)
+    assert groups == {i: label[i] for i in range(len(rows))}
+
+
+def brute_any(fps):
+    """Smallest index reachable where any of the fingerprints links."""
+    fps = np.array(fps, dtype=np.uint64)
+    near = (np.bitwise_count(fps[:, None, :] ^ fps[None, :, :]) <= 3).any(axis=2)
+    label = np.arange(len(fps))
+    while True:
+        new = np.where(near, label[None, :], len(fps)).min(axis=1)
+        if (new == label).all():
+            return label.tolist()
+        label = new
