@@ -194,7 +194,11 @@ def one_per_group(docs: DataFrame, **options) -> DataFrame:
 
     Of rows that repeat an id and text, one stays. Groups whose ids are all null keep one row.
     """
-    groups = near_duplicates(docs, **options)
+    return keep_first(docs, near_duplicates(docs, **options))
+
+
+def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``docs`` with the first row of each group of ``near_duplicates``."""
     keep = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("nameless")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")).alias("best")
     )
