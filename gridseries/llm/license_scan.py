@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridseries.llm.license_texts import full_texts
+
 #: Equivalent spellings, as pattern and replacement, applied in this order to
 #: lower-case text in which every other run of characters is one blank.
 SPELLINGS = [
@@ -27,7 +29,7 @@ SPELLINGS = [
     (r"\bhttps? ", "http "),
 ]
 
-#: Public licence notices and short licence texts, by SPDX id.
+#: Public licence notices and licence texts, by SPDX id.
 KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -39,6 +41,8 @@ KNOWN = [
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
     ("MIT-0", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so."),
 ]
+# the notices above are lines or paragraphs; these are the whole texts
+KNOWN += full_texts()
 
 #: The known digests are broadcast; so many take a few MB.
 MOST_KNOWN = 20_000
