@@ -45,6 +45,27 @@ def test_search_of_ties_few_candidates_and_unusable_vectors(spark):
     assert neighbours.nearest(frame.limit(0), frame.limit(0)).count() == 0
 
 
+def test_most_vectors_are_not_verified():
+    # no clusters: the nearest vectors are nearly as far as all others, the hardest case for windows
+    x = unit(np.random.default_rng(6), 8000).astype(float)
+    index = neighbours.Index(np.arange(len(x)), x)
+    radius, hits, verified = index.first_radius(10), 0, []
+    for q in range(0, 8000, 200):
+        got = {i for i, _ in index.search(q, x[q], 10, radius)}
+        verified.append(index.verified / len(x))
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        hits += len(got & set(np.argsort(d)[:10].tolist()))
+    assert hits >= 0.95 * 400 and np.mean(verified) <= 0.3
+
+
+def test_rows_that_repeat_an_id_count_by_their_least_vector(spark):
+    rows = [(0, [0.0, 1.0], 0, 0.0, 0), (1, [9.0, 1.0], 0, 0.0, 0), (1, [3.0, 8.0], 0, 0.0, 0), (1, [3.0, 5.0], 0, 0.0, 0), (0, [0.0, 2.0], 0, 0.0, 0)]
+    for frame in (table(spark, rows), table(spark, rows[::-1])):
+        got = neighbours.nearest(frame, frame.where("vec_id = 0")).collect()
+        assert [tuple(r) for r in got] == [(0, 1, 1, 5.0)]
+
+
 def test_e8_decoding_is_nearest():
     draw = np.random.default_rng(2)
     x = draw.standard_normal((300, 8)) * 2
@@ -101,6 +122,20 @@ def test_links_and_components_against_brute_force(spark):
     assert got == {r[0]: len(link[i]) for i, r in enumerate(rows)}
 
 
+def test_recall_of_every_setting_near_the_bound():
+    draw = np.random.default_rng(8)
+    for dim in (16, 32, 64, 256):
+        a, w = unit(draw, 1500, dim).astype(float), unit(draw, 1500, dim).astype(float)
+        w -= (w * a).sum(axis=1, keepdims=True) * a
+        w /= np.linalg.norm(w, axis=1, keepdims=True)
+        c = draw.uniform(0.93, 0.95, (1500, 1))
+        b = c * a + np.sqrt(1 - c * c) * w
+        for _, (tables, blocks, scale, probes) in lattice.SETTINGS:
+            x, y = lattice.cells(a, tables, blocks, scale, probes), lattice.cells(b, tables, blocks, scale, probes)
+            met = ((x == y[:, :, :1]).any(axis=2) | (y == x[:, :, :1]).any(axis=2)).any(axis=1)
+            assert met.mean() >= 0.95, (dim, tables, blocks)
+
+
 def test_unusable_vectors_and_labels_link_with_nothing(spark):
     a, b = [1.0, 0.0], [1.0, 0.01]
     rows = [
