@@ -24,7 +24,8 @@ BITS = 64
 MAX_DISTANCE = 3
 
 
-def _majority(hashes: np.ndarray) -> int:
+def majority(hashes: np.ndarray) -> int:
+    """Bitwise majority of 64-bit hashes, unsigned; ties and no hashes give zeros."""
     ones = np.zeros(BITS, dtype=np.int64)
     for start in range(0, len(hashes), 8192):  # a very long text is counted in pieces
         piece = hashes[start : start + 8192].view(np.uint8).reshape(-1, 8)
@@ -41,10 +42,10 @@ def fingerprints(text: str | None, shingle: int = 3, count: int = 1) -> list[int
     runs = [words] if len(words) < shingle else zip(*(words[i:] for i in range(shingle)), strict=False)
     digest, join = xxhash.xxh64_intdigest, b" ".join
     hashes = np.fromiter((digest(join(run), SEED) for run in runs), dtype="<u8")
-    out = [_majority(hashes)]
+    out = [majority(hashes)]
     for k in range(1, count):
         mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(digest(str(k), SEED) | 1)
-        out.append(_majority(mixed ^ (mixed >> np.uint64(32))))
+        out.append(majority(mixed ^ (mixed >> np.uint64(32))))
     return out
 
 
@@ -107,35 +108,90 @@ def _split(rows: DataFrame, width: int) -> DataFrame:
     return rows.select("fp", F.explode(F.concat(probes(0), probes(1))).alias("x")).select("fp", "x.key", "x.home", "x.at")
 
 
-def links(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE, bucket_limit: int = 256) -> DataFrame:
-    """All pairs (``u``, ``v``) of distinct fingerprints (long column ``fp``) that differ in 1 to 3 bits.
+def _check_distance(max_distance: int) -> None:
+    if not 0 <= max_distance <= MAX_DISTANCE:
+        raise ValueError("two segments with balls of radius one reach a distance of three bits at most")
 
-    A bucket of more than ``bucket_limit`` centres is not matched as it stands: its rows are indexed
+
+def _buckets(fingerprints: DataFrame, bucket_limit: int) -> Iterator[DataFrame]:
+    """Rows (``fp, key, home``) of the buckets in which fingerprints may meet, level by level.
+
+    A bucket of more than ``bucket_limit`` rows is not given as it stands: its rows are indexed
     again by the halves of the bits that its key leaves open (32, then 16 bits). After the last
     level a key fixes 56 of the 64 bits up to three flips, so no bucket outgrows a constant,
     however alike the fingerprints are, and no link is lost.
     """
-    if not 0 <= max_distance <= MAX_DISTANCE:
-        raise ValueError("two segments with balls of radius one reach a distance of three bits at most")
     fps = fingerprints.select(F.col("fp").cast("long").alias("fp")).where("fp is not null").distinct()
     rows = _split(fps.select("fp", F.lit(0).cast("long").alias("key"), F.lit(0).alias("at")), BITS)
-    found = None
     for width in (32, 16, 0):
-        hot = rows.where("home").groupBy("key").count().where(F.col("count") > bucket_limit).select("key")
-        if width:
-            hot = cut(hot)
-        refine = bool(width) and not hot.isEmpty()
-        cold = rows.join(hot, "key", "left_anti") if refine else rows
-        centres = cold.where("home").select("key", F.col("fp").alias("v"))
+        # buckets with nobody at home, or one row at all, link nothing
+        busy = rows.groupBy("key").agg(F.count("*").alias("rows"), F.count_if("home").alias("homes"))
+        here = cut(rows.join(busy.where("homes > 0 and rows > 1"), "key").select("fp", "key", "home", "at", "rows"))
+        hot = F.col("rows") > bucket_limit
+        yield (here.where(~hot) if width else here).select("fp", "key", "home")
+        if not width or here.where(hot).isEmpty():
+            return
+        rows = _split(here.where(hot), width)
+
+
+def links(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE, bucket_limit: int = 256) -> DataFrame:
+    """All pairs (``u``, ``v``) of distinct fingerprints (long column ``fp``) that differ in 1 to 3 bits.
+
+    A group of alike fingerprints gives all its pairs; ``forest`` connects the same with few.
+    """
+    _check_distance(max_distance)
+    found = None
+    for rows in _buckets(fingerprints, bucket_limit):
+        centres = rows.where("home").select("key", F.col("fp").alias("v"))
         near = F.bit_count(F.col("fp").bitwiseXOR(F.col("v"))) <= max_distance
         pairs = (
-            cold.join(centres, (cold["key"] == centres["key"]) & near & (F.col("fp") != F.col("v")))
+            rows.join(centres, (rows["key"] == centres["key"]) & near & (F.col("fp") != F.col("v")))
             .select(F.greatest("fp", "v").alias("u"), F.least("fp", "v").alias("v"))
         )
         found = pairs if found is None else found.unionByName(pairs)
-        if not refine:
-            break
-        rows = _split(rows.join(hot, "key", "left_semi"), width)
+    return found.distinct()
+
+
+def _spanning(fps: np.ndarray, home: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
+    """Links of one bucket, as few as connect what all its links connect."""
+    bits = fps.view(np.uint64)
+    near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= max_distance
+    near &= home[:, None] | home[None, :]
+    open_, kept = np.ones(len(fps), dtype=bool), []
+    for start in range(len(fps)):
+        if not open_[start]:
+            continue
+        open_[start] = False
+        edge = np.array([start])
+        while len(edge):
+            met = near[edge] & open_
+            new = np.flatnonzero(met.any(axis=0))
+            kept += zip(fps[new].tolist(), fps[edge[met[:, new].argmax(axis=0)]].tolist(), strict=True)
+            open_[new] = False
+            edge = new
+    return kept
+
+
+def forest(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE, bucket_limit: int = 256) -> DataFrame:
+    """Pairs (``u``, ``v``) that differ in 1 to 3 bits and connect the same fingerprints as all such pairs.
+
+    A bucket gives fewer pairs than it has rows, so the result grows with the rows, not with the
+    square of a group of alike fingerprints.
+    """
+    _check_distance(max_distance)
+
+    @F.pandas_udf("array<struct<u:bigint,v:bigint>>")
+    def spanning(fps: pd.Series, homes: pd.Series) -> pd.Series:
+        return pd.Series(
+            [[{"u": max(e), "v": min(e)} for e in _spanning(np.asarray(f, dtype=np.int64), np.asarray(h, dtype=bool), max_distance)] for f, h in zip(fps, homes, strict=True)],
+            dtype=object,
+        )
+
+    found = None
+    for rows in _buckets(fingerprints, bucket_limit):
+        members = rows.groupBy("key").agg(F.collect_list("fp").alias("fps"), F.collect_list("home").alias("homes"))
+        pairs = members.select(F.explode(spanning("fps", "homes")).alias("x")).select("x.u", "x.v")
+        found = pairs if found is None else found.unionByName(pairs)
     return found.distinct()
 
 
@@ -164,11 +220,11 @@ def near_duplicates(
     )
     # equal first fingerprints link, so the first fingerprint stands for all texts that have it
     kinds = rows.groupBy("fp").agg(F.min("id").alias("least_id"))
-    edges = links(kinds, max_distance, bucket_limit)
+    edges = forest(kinds, max_distance, bucket_limit)
     for k in range(1, count):
         also = rows.select("fp", F.col("fps")[k].alias("also")).distinct()
         named = also.groupBy("also").agg(F.min("fp").alias("name"))
-        found = links(named.select(F.col("also").alias("fp")), max_distance, bucket_limit)
+        found = forest(named.select(F.col("also").alias("fp")), max_distance, bucket_limit)
         u, v = (named.select(F.col("also").alias(c), F.col("name").alias(f"{c}_name")) for c in ("u", "v"))
         linked = found.join(u, "u").join(v, "v").select(F.col("u_name").alias("u"), F.col("v_name").alias("v"))
         equal = also.join(named, "also").select(F.col("fp").alias("u"), F.col("name").alias("v")).where("u <> v")

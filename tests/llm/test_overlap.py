@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from gridseries.llm import overlap, simhash
 
@@ -73,6 +75,17 @@ def test_order_of_common_shingles_never_changes_the_result(spark, monkeypatch):
     assert got == dict(enumerate(brute_labels(texts)))
 
 
+def test_bitmaps_never_differ_more_than_the_sets():
+    draw = np.random.default_rng(5)
+    for _ in range(300):
+        a = draw.integers(0, 400, draw.integers(0, 300)) * 0x9E3779B97F4A7C1
+        b = np.concatenate([a[: draw.integers(0, len(a) + 1)], draw.integers(0, 400, draw.integers(0, 60)) * 0x9E3779B97F4A7C1])
+        a, b = np.unique(a), np.unique(b)
+        got = overlap.least_difference(overlap.parities(a), overlap.parities(b))
+        assert got <= len(np.setxor1d(a, b)) and (got == 0 or len(np.setxor1d(a, b)))
+        assert overlap.least_difference(overlap.parities(a), overlap.parities(a)) == 0
+
+
 def test_null_ids_repeats_and_an_empty_table(spark):
     rows = [(3, None), (1, ""), (2, "a b c d"), (2, "a b c d"), (None, "a b c d"), (None, "only nameless")]
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, fp int")
