@@ -1,12 +1,15 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 Every source gets a target number of words; a document's expected number of copies is its source's
-target over the source's size. The whole copies are certain. The fractions are rounded by passing
-words between two partners, in a random direction whose odds keep both expectations, until one of
-them is integral. One partner is the largest document that is still fractional, the other the next
-smaller ones taken together, so the last fraction left is of a small document. Inside a bucket of one
-source all but its smallest documents are settled so; these residuals meet again in a tree of buckets
-of buckets, until one is left per source. A source so misses its target by less than a small document.
+target over the source's size. The whole copies are certain. The fractions are rounded in pairs: words
+pass between two documents, in a random direction whose odds keep both expectations, until one of the
+two fractions is integral; the other goes on to the next pair. Documents are paired in descending size,
+so large ones settle among each other first and the fraction that is left last is of a small document.
+A document of more than twice the size of the next one takes several next ones together as its partner:
+one alone has too few words to settle it.
+Inside a bucket of one source all but one document and the smallest ones are settled so; these residuals
+meet again in a tree of buckets of buckets, until one is left per source. A source so misses its target by
+less than one document.
 """
 
 from __future__ import annotations
@@ -27,8 +30,10 @@ SEED = 20240101
 #: Documents of one bucket, on average; buckets of one round of the tree.
 BUCKET_ROWS = 4096
 FAN_IN = 128
-#: Documents that take the other part of a step together; smallest documents that a bucket passes on.
-POOL, RESERVE = 32, 32
+#: Most documents that are together the partner of an outsized one; documents that a bucket passes on.
+PARTNERS, RESERVE = 32, 32
+#: Sources whose totals the driver holds and hands to all tasks (a few hundred bytes each).
+MOST_SOURCES = 100_000
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, most: float = MOST_COPIES) -> dict[str | None, float]:
@@ -54,34 +59,35 @@ def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS,
 
 
 def pivot(size: np.ndarray, share: np.ndarray, draw: np.random.Generator, leave: int = 1) -> np.ndarray:
-    """Round the fractions ``share`` (0..1) of documents in descending size; the last ``leave`` may stay.
+    """Round the fractions ``share`` (0..1) of documents in descending size; ``leave`` of them may stay.
 
     Words, not copies, pass between the partners, so the expected words stay as they are at every
     step; each step makes a document integral.
     """
     share = share.copy()
     live = np.flatnonzero((share > 0) & (share < 1))
-    s, z = share[live], size[live]
-    head = 0
+    s, z, head = share[live], size[live], 0
     while head < len(s) - leave:
         if not 0.0 < s[head] < 1.0:
             head += 1
             continue
-        near = s[head + 1 : head + 1 + 4 * POOL]
-        pool = head + 1 + np.flatnonzero((near > 0) & (near < 1))[:POOL]
-        if len(pool) < POOL:
+        near = s[head + 1 : head + 1 + 4 * PARTNERS]
+        other = head + 1 + np.flatnonzero((near > 0) & (near < 1))[:PARTNERS]
+        if len(other) < PARTNERS:
             rest = s[head + 1 :]
-            pool = head + 1 + np.flatnonzero((rest > 0) & (rest < 1))[:POOL]
-        if not len(pool):
+            other = head + 1 + np.flatnonzero((rest > 0) & (rest < 1))[:PARTNERS]
+        if not len(other):
             break
-        words = z[pool].sum()
-        up = min((1 - s[head]) * z[head], s[pool].min() * words)
-        down = min(s[head] * z[head], (1 - s[pool].max()) * words)
+        if z[head] <= 2 * z[other[0]]:
+            other = other[:1]
+        words = z[other].sum()
+        up = min((1 - s[head]) * z[head], s[other].min() * words)
+        down = min(s[head] * z[head], (1 - s[other].max()) * words)
         moved = up if draw.random() * (up + down) < down else -down
         s[head] += moved / z[head]
-        s[pool] -= moved / words
-        touched = np.append(pool, head)
-        s[touched] = np.where(s[touched] < 1e-9, 0.0, np.where(s[touched] > 1 - 1e-9, 1.0, s[touched]))
+        s[other] -= moved / words
+        pair = np.append(other, head)
+        s[pair] = np.where(s[pair] < 1e-9, 0.0, np.where(s[pair] > 1 - 1e-9, 1.0, s[pair]))
     share[live] = s
     return share
 
@@ -117,7 +123,7 @@ def mix(
     seed alone, so reruns agree. Repeated rows are rounded each on their own. Null ids and sources
     (one source, the last) take part; other columns are ignored; an empty table gives none.
 
-    The driver sees one row per source: sources name data sets and are few.
+    The driver sees one row per source, and refuses more than ``MOST_SOURCES`` of them.
     """
     units = cut(
         docs.select(
@@ -125,7 +131,9 @@ def mix(
             F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
         )
     )
-    totals = units.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()
+    totals = units.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
+    if len(totals) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: the column names no data sets")
     words = {r["source"]: r["words"] for r in totals}
     wanted = targets(words, weights, most_copies)
     plan = docs.sparkSession.createDataFrame(
