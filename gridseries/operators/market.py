@@ -103,7 +103,8 @@ def market_schedule(schedule: DataFrame, activation: DataFrame, keys: list[str])
     return a.join(b, keys, "full_outer").withColumn("value", F.col("scheduled") - F.col("activated"))
 
 
-PLANT_UNIT = "^(.+?)_(GT|ST)"
+#: A unit is a plant's name, the last ``_GT`` or ``_ST`` and its number, if any.
+PLANT_UNIT = r"^(.+)_(GT|ST)\d*$"
 
 
 def plant_totals(series: DataFrame, index: list[str], families: tuple[str, ...] = (), into: str = "Thermal") -> tuple[DataFrame, DataFrame]:

@@ -51,15 +51,23 @@ def upsert(base: DataFrame, new: DataFrame, keys: list[str], step_s: int | None
 
 
 def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], keep: str = "existing", partition_by: list[str] = ()) -> None:
-    """Upsert into a Parquet folder: the merged table is written beside it, then takes its place."""
+    """Upsert into a Parquet folder: the merged table is written beside it, then takes its place.
+
+    The old table is set aside first and deleted last, so at no time is there less than one whole table:
+    after a crash it stands at ``path``, or else beside it with ``.old`` in its name.
+    """
     fs, at, Path = _filesystem(spark, path)
     if fs.exists(at):
         base = spark.read.parquet(path)
         beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
         upsert(base, new, keys, keep=keep).write.partitionBy(*partition_by).parquet(beside)
-        fs.delete(at, True)
+        aside = Path(f"{beside}.old")
+        if not fs.rename(at, aside):
+            raise OSError(f"the merged table stays in {beside}")
         if not fs.rename(Path(beside), at):
+            fs.rename(aside, at)
             raise OSError(f"the merged table stays in {beside}")
+        fs.delete(aside, True)
     else:
         upsert(new, new.limit(0), keys, keep=keep).write.partitionBy(*partition_by).parquet(path)
 

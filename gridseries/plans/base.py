@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -33,8 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share: below ``spark.checkpoint.dir`` where the cluster
-    names it, else (in tests) below a temporary folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    names it, else (in tests, on a local master alone) below a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -42,17 +42,18 @@ def read_ladder(spark, sf):
 
 
 @query("""
-WITH l AS (SELECT l_orderkey % 40 AS file, string_agg(l_orderkey || ',' || l_partkey || ',' || CASE WHEN l_discount > 0 THEN l_suppkey::VARCHAR ELSE '' END, chr(10) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount) AS text FROM lineitem WHERE l_linenumber = 1 GROUP BY 1),
+WITH l AS (SELECT l_orderkey // 1000 AS file, string_agg(l_orderkey || ',' || l_partkey || ',' || CASE WHEN l_discount > 0 THEN l_suppkey::VARCHAR ELSE '' END, chr(10) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount) AS text FROM lineitem GROUP BY 1),
 r AS (SELECT file, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS row FROM l)
 SELECT 'sheet_' || file AS file, row, unnest([0, 1, 2]) AS col, unnest(list_transform(string_split(line, ','), lambda c: nullif(c, ''))) AS cell FROM r
 """)
 def read_cells(spark, sf):
     path = scratch(spark, "sheets")
     text = F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"), F.when(F.col("l_discount") > 0, F.col("l_suppkey").cast("string")).otherwise(""))
-    first = table(spark, sf, "lineitem").where("l_linenumber = 1").withColumn("sheet", F.concat(F.lit("sheet_"), F.col("l_orderkey") % 40)).withColumn("value", text)
+    # sheets of a thousand order numbers: their number grows with the table, their size does not
+    lines = table(spark, sf, "lineitem").withColumn("sheet", F.concat(F.lit("sheet_"), F.expr("l_orderkey div 1000"))).withColumn("value", text)
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount"]
     # one file per sheet, its rows in order
-    first.repartition("sheet").sortWithinPartitions("sheet", *order).select("sheet", "value").write.partitionBy("sheet").text(path)
+    lines.repartition("sheet").sortWithinPartitions("sheet", *order).select("sheet", "value").write.partitionBy("sheet").text(path)
     return io.read_cells(spark, path, name_pattern="/sheet=([^/]+)/")
 
 
@@ -79,19 +80,20 @@ def export_node(spark, sf):
 
 
 @query("""
-WITH s AS (SELECT o_orderpriority AS property, o_orderdate AS ts, (o_custkey % 50)::DOUBLE AS value FROM orders WHERE o_orderkey % 7 = 0),
+WITH s AS (SELECT o_orderpriority AS property, o_orderdate AS ts, (o_custkey % 50)::DOUBLE AS value FROM orders),
+y AS (SELECT 'Y' AS freq, property, date_trunc('year', ts)::TIMESTAMP AS ts, CASE WHEN property = '5-LOW' THEN max(value) ELSE sum(value) END AS value FROM s GROUP BY 1, 2, 3),
 m AS (SELECT 'M' AS freq, property, date_trunc('month', ts)::TIMESTAMP AS ts, CASE WHEN property = '5-LOW' THEN max(value) ELSE sum(value) END AS value FROM s GROUP BY 1, 2, 3),
 d AS (SELECT 'D' AS freq, property, date_trunc('day', ts)::TIMESTAMP AS ts, CASE WHEN property = '5-LOW' THEN max(value) ELSE sum(value) END AS value FROM s GROUP BY 1, 2, 3),
-g AS (SELECT 'M' AS freq, property, unnest(generate_series(min(ts), max(ts), INTERVAL 1 MONTH)) AS ts FROM m GROUP BY property UNION ALL SELECT 'D', property, unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY)) FROM d GROUP BY property)
-SELECT freq, property, ts, CASE WHEN value IS NULL AND property <> '5-LOW' THEN 0 ELSE value END AS value FROM g LEFT JOIN (SELECT * FROM m UNION ALL SELECT * FROM d) USING (freq, property, ts)
+g AS (SELECT 'M' AS freq, property, unnest(generate_series(min(ts), max(ts), INTERVAL 1 MONTH)) AS ts FROM m GROUP BY property UNION ALL SELECT 'D', property, unnest(generate_series(min(ts), max(ts), INTERVAL 1 DAY)) FROM d GROUP BY property UNION ALL SELECT 'Y', property, unnest(generate_series(min(ts), max(ts), INTERVAL 1 YEAR)) FROM y GROUP BY property)
+SELECT freq, property, ts, CASE WHEN value IS NULL AND property <> '5-LOW' THEN 0 ELSE value END AS value FROM g LEFT JOIN (SELECT * FROM m UNION ALL SELECT * FROM d UNION ALL SELECT * FROM y) USING (freq, property, ts)
 UNION ALL SELECT 'H', property, ts, value FROM s
 """)
 def export_multi_freq(spark, sf):
     path = scratch(spark, "freqs")
-    series = table(spark, sf, "orders").where("o_orderkey % 7 = 0").select(F.col("o_orderpriority").alias("property"), F.col("o_orderdate").alias("ts"), (F.col("o_custkey") % 50).cast("double").alias("value"))
-    io.export_multi_freq(series, path, ("H", "D", "M"), {"5-LOW": "max"})
+    series = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("property"), F.col("o_orderdate").alias("ts"), (F.col("o_custkey") % 50).cast("double").alias("value"))
+    io.export_multi_freq(series, path, ("H", "D", "M", "Y"), {"5-LOW": "max"})
     out = None
-    for freq in ("H", "D", "M"):
+    for freq in ("H", "D", "M", "Y"):
         one = spark.read.parquet(f"{path}/{freq}").select(F.lit(freq).alias("freq"), "property", "ts", "value")
         out = one if out is None else out.unionByName(one)
     return out

@@ -55,11 +55,11 @@ def upsert(spark, sf):
 
 
 @query(f"""
-WITH s AS (SELECT property, min(ts) AS a, max(ts) AS b FROM ({BASE_SQL}) GROUP BY 1), g AS (SELECT property, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS ts FROM s)
-SELECT ts, property, value FROM g LEFT JOIN ({BASE_SQL}) USING (property, ts)
+WITH s AS (SELECT property, min(ts) AS a, max(ts) AS b FROM ({HOURLY_SQL}) GROUP BY 1), g AS (SELECT property, unnest(generate_series(a, b, INTERVAL 20 MINUTE)) AS ts FROM s)
+SELECT ts, property, value FROM g LEFT JOIN ({HOURLY_SQL}) USING (property, ts)
 """)
 def fill_grid(spark, sf):
-    return store.fill_grid(base(spark, sf), ["property"], 3600)
+    return store.fill_grid(hourly(spark, sf).select("ts", "property", "value"), ["property"], 1200)
 
 
 @query("""
@@ -92,11 +92,11 @@ def rebuild_report(spark, sf):
     return spark.read.parquet(path).withColumn("backups", F.lit(int(backup.rpartition("backup")[2])))
 
 
-SPREAD_SQL = "SELECT l_suppkey % 50 AS report, l_shipdate AS ts, CASE WHEN l_discount > 0.02 THEN l_quantity END AS value FROM lineitem WHERE l_partkey % 5 = 0"
+SPREAD_SQL = "SELECT l_suppkey AS report, l_shipdate AS ts, CASE WHEN l_discount > 0.02 THEN l_quantity END AS value FROM lineitem"
 
 
 def spread(spark, sf):
-    return table(spark, sf, "lineitem").where("l_partkey % 5 = 0").select((F.col("l_suppkey") % 50).alias("report"), F.col("l_shipdate").alias("ts"), F.when(F.col("l_discount") > 0.02, F.col("l_quantity")).alias("value"))
+    return table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("report"), F.col("l_shipdate").alias("ts"), F.when(F.col("l_discount") > 0.02, F.col("l_quantity")).alias("value"))
 
 
 @query(f"""

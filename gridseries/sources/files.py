@@ -168,7 +168,7 @@ def scan_csv_tree(spark: SparkSession, root: str, ignore: str = ".") -> DataFram
     tail = F.split(F.substring_index(F.col("_metadata.file_path"), root.rstrip("/") + "/", -1), "/")
     heads = files.select(tail.alias("parts"), F.col("value"), F.col("_metadata.file_block_start").alias("at")).where("at = 0")
     first = heads.withColumn("n", F.monotonically_increasing_id()).groupBy("parts").agg(F.min_by("value", "n").alias("header"))
-    names = F.filter(F.slice(F.split("header", ","), 2, 100_000), lambda c: c != "")
+    names = F.filter(F.split("header", ","), lambda c, k: (k > 0) & (c != ""))
     leaves = first.where(~F.exists("parts", lambda p: p.startswith(ignore))).select("parts", F.explode_outer(names).alias("property"))
     parts = F.concat(F.array(F.lit("root")), F.transform("parts", lambda p: F.regexp_replace(p, r"\.csv$", "")), F.when(F.col("property").isNotNull(), F.array("property")).otherwise(F.array().cast("array<string>")))
     nodes = leaves.select(parts.alias("all")).select(F.explode(F.transform(F.sequence(F.lit(1), F.size("all")), lambda n: F.slice("all", 1, n))).alias("parts")).distinct()

@@ -263,3 +263,10 @@ def test_recipe_of_market_results(spark):
     rows = [(0, "Sell", "x", "RES", 10.0), (0, "Buy", "x", "RES", 3.0), (0, "Buy", "GR-AL", "Exports", 4.0), (0, "Sell", "AL-GR", "Imports", 6.0)]
     got = recipes.run(spark.createDataFrame(rows, "ts int, side string, asset string, classification string, value double"), recipes.market_results())
     assert {r["asset"]: r["value"] for r in got.collect()} == {"RES": 7, "GR-AL": -2, "Demand": 0, "Generation": 7, "NetMarketSchedule": -2}
+
+
+def test_units_of_a_plant_whose_name_holds_a_unit_mark(spark):
+    rows = [("NORTH_STATION_GT1", 1, 5.0), ("NORTH_STATION_ST", 1, 3.0), ("NORTH_GTX", 1, 7.0), ("NORTH_GT2", 1, 2.0)]
+    series = spark.createDataFrame(rows, "property string, ts int, value double")
+    modes = {r["plant"]: r["mode"] for r in market.plant_modes(series, ["ts"]).collect()}
+    assert modes == {"NORTH_STATION": "1GT+ST", "NORTH": "1GT"}
