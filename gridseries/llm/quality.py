@@ -6,7 +6,8 @@ on the scaled indicators by dual coordinate descent, and a logistic curve over h
 the fitting sample turns margins into probabilities.
 
 Only the fit is bounded: at most ``MAX_FIT_ROWS`` labelled rows, the ones whose hashed ids are
-smallest, and of each the indicator slots alone go to the driver. Every row is scored, in tasks.
+smallest, and of each the indicator slots alone go to the driver, all of them: as numbers, or as a
+bitmap where that is shorter, so a row of any length takes 32 KB at most. Every row is scored, in tasks.
 """
 
 from __future__ import annotations
@@ -17,30 +18,64 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bound of the fitting sample, in labelled rows.
 MAX_FIT_ROWS = 8000
-#: Most indicator slots of one fitting row that go to the driver (smallest first); scoring has no bound.
-MAX_FIT_SLOTS = 20_000
 SLOTS = 1 << 18
 THRESHOLD = 0.3
 
-_SHAPES = [(re.compile(p), r) for p, r in (("[^\\W\\d_a-z]+", "~"), ("[a-z]+", "a"), ("[0-9]+", "0"))]
+_SHAPES = [(regex.compile(p), r) for p, r in ((r"\p{Lu}+", "A"), (r"(?:(?!A)\p{L})+", "a"), (r"\p{N}+", "0"), (r"(.)\1+", r"\1"))]
+
+#: The same for ASCII words, as a table and runs.
+_ASCII = {c: "A" if chr(c).isupper() else "a" if chr(c).isalpha() else "0" if chr(c).isdigit() else chr(c) for c in range(128)}
+_RUNS = re.compile(r"(?s)(.)\1+")
 
 
 def _shape(word: str) -> str:
-    """Runs of upper-case, other letters, digits; further characters once per run. Six runs at most."""
-    out = []
-    for c in word[:40]:
-        k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        if not out or out[-1] != k:
-            out.append(k)
-            if len(out) == 6:
-                break
-    return "".join(out)
+    """Runs of upper-case letters, other letters, digits and each further character, one character a run."""
+    if word.isascii():
+        return _RUNS.sub(r"\1", word.translate(_ASCII))
+    for pattern, run in _SHAPES:
+        word = pattern.sub(run, word)
+    return word
+
+
+def pack_slots(slots: np.ndarray) -> bytes:
+    """Sorted slots as bytes: one bit a slot of the whole range where that is shorter than the numbers."""
+    if len(slots) * 32 < SLOTS:
+        return b"n" + slots.astype("<i4").tobytes()
+    bits = np.zeros(SLOTS, dtype=np.uint8)
+    bits[slots] = 1
+    return b"b" + np.packbits(bits).tobytes()
+
+
+def unpack_slots(packed: bytes) -> np.ndarray:
+    if packed[:1] == b"n":
+        return np.frombuffer(packed, dtype="<i4", offset=1)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(packed, dtype=np.uint8, offset=1))).astype(np.int32)
+
+
+class PackedRows:
+    """Slot arrays of the fitting sample, unpacked one at a time."""
+
+    def __init__(self, packed: list[bytes]):
+        self.packed = packed
+
+    def __len__(self) -> int:
+        return len(self.packed)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return unpack_slots(self.packed[i])
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        return map(unpack_slots, self.packed)
+
+    def take(self, rows: np.ndarray) -> PackedRows:
+        return PackedRows([self.packed[i] for i in rows])
 
 
 class Slots:
@@ -97,7 +132,7 @@ class Model:
         return float(1 / (1 + np.exp(-z)))
 
 
-def log_count_ratio(rows: list[np.ndarray], labels: np.ndarray, smooth: float = 1.0) -> np.ndarray:
+def log_count_ratio(rows: PackedRows, labels: np.ndarray, smooth: float = 1.0) -> np.ndarray:
     counts = np.full((2, SLOTS), smooth)
     for slots, label in zip(rows, labels, strict=True):
         counts[int(label), slots] += 1
@@ -106,7 +141,7 @@ def log_count_ratio(rows: list[np.ndarray], labels: np.ndarray, smooth: float =
 
 
 def dual_coordinate_descent(
-    rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, cost: float = 1.0, epochs: int = 12, seed: int = 7
+    rows: PackedRows, labels: np.ndarray, scale: np.ndarray, cost: float = 1.0, epochs: int = 12, seed: int = 7
 ) -> tuple[np.ndarray, float]:
     """Weights over scaled indicators and the bias of the L1-loss support vector machine.
 
@@ -116,18 +151,19 @@ def dual_coordinate_descent(
     share = np.array([max(1, (y < 0).sum()), max(1, (y > 0).sum())])
     most = cost * len(y) / 2 / share[(y > 0).astype(int)]
     norm = np.array([1 / np.sqrt(max(1, len(r))) for r in rows])
-    values = [scale[r] * n for r, n in zip(rows, norm, strict=True)]
-    diagonal = np.array([float(v @ v) + 1.0 for v in values])
+    diagonal = np.array([float(scale[r] @ scale[r]) * n * n + 1.0 for r, n in zip(rows, norm, strict=True)])
     weights, bias, alpha = np.zeros(SLOTS), 0.0, np.zeros(len(rows))
     shuffle = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in shuffle.permutation(len(rows)):
-            gradient = y[i] * (weights[rows[i]] @ values[i] + bias) - 1
+            row = rows[i]
+            values = scale[row] * norm[i]
+            gradient = y[i] * (weights[row] @ values + bias) - 1
             new = min(max(alpha[i] - gradient / diagonal[i], 0.0), most[i])
             step = (new - alpha[i]) * y[i]
             if step:
-                weights[rows[i]] += step * values[i]
+                weights[row] += step * values
                 bias += step
                 moved = max(moved, abs(step))
                 alpha[i] = new
@@ -153,7 +189,7 @@ def _curve(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(max(a, 0.0) / spread), float(b)
 
 
-def fit_rows(rows: list[np.ndarray], labels: np.ndarray, folds: int = 3) -> Model:
+def fit_rows(rows: PackedRows, labels: np.ndarray, folds: int = 3) -> Model:
     """Model of labelled slot arrays. With one class or none the score is the smoothed share of label 1."""
     n1, n0 = int((labels == 1).sum()), int((labels == 0).sum())
     if min(n1, n0) < folds:
@@ -166,8 +202,9 @@ def fit_rows(rows: list[np.ndarray], labels: np.ndarray, folds: int = 3) -> Mode
     fitted = None
     for k in [*range(folds), None]:  # the last fit uses all rows
         use = np.flatnonzero(fold != k) if k is not None else np.arange(len(rows))
-        scale = log_count_ratio([rows[i] for i in use], labels[use])
-        weights, bias = dual_coordinate_descent([rows[i] for i in use], labels[use], scale)
+        part = rows.take(use)
+        scale = log_count_ratio(part, labels[use])
+        weights, bias = dual_coordinate_descent(part, labels[use], scale)
         fitted = Model((weights * scale).astype(np.float32), bias, 1.0, 0.0)
         if k is not None:
             for i in np.flatnonzero(fold == k):
@@ -198,14 +235,14 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows
         for batch in batches:
             yield pd.DataFrame(
                 {"doc_id": batch.doc_id, "label": batch.label,
-                 "slots": [make.of(t)[:MAX_FIT_SLOTS].tobytes() for t in batch.text]}
+                 "slots": [pack_slots(make.of(t)) for t in batch.text]}
             )
 
     # at most max_rows ids and labels are broadcast
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     got = sample.mapInPandas(slots, "doc_id long, label int, slots binary").toPandas()
     got = got.drop_duplicates("doc_id").sort_values("doc_id")
-    return fit_rows([np.frombuffer(b, dtype=np.int32) for b in got.slots], got.label.to_numpy(dtype=int))
+    return fit_rows(PackedRows([bytes(b) for b in got.slots]), got.label.to_numpy(dtype=int))
 
 
 def score_column(model: Model, text: Column) -> Column:
