@@ -16,6 +16,7 @@ import sys
 import types
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +32,12 @@ END_ID = 2
 DICTIONARY_BYTES = 65_536
 #: Bounds of the dictionary's training sample: documents, and characters of each (longer ones are not sampled).
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 8000
+#: Documents of the sample on which word by word is compared with whole texts.
+COMPARED_ROWS = 64
 #: A shard is closed at so many documents or compressed bytes.
 SHARD_ROWS, SHARD_BYTES = 1024, 4 << 20
 #: Words whose ids a task remembers.
-MOST_WORDS = 400_000
+MOST_WORDS = 700_000
 
 
 #: Byte-level tokenizers write a byte that is no visible Latin-1 character as one from U+0100 on, in turn.
@@ -42,43 +45,67 @@ _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b
 BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 
 
+#: Fixed texts on which the two ways of encoding are compared, beside texts of the documents.
+PROBES = [
+    "Hello World, this is New York.", "it's we'll I'D 'tis", "a  b\tc\n d", "x1 22 3.14 1,234 (y) [z]; q!? -- #tag @me $5 50% a&b *c*", "ÀÉ straße ǅ İ ﬁ ñandú cigüeña",
+    "e\u0301 \u0301x ab\u0301. 数据 данные", "<|endoftext|> a<|endoftext|>b <b>", "word$$$ word.%%% Word,***", " lead and trail ",
+]
+
+
+class Words(dict):
+    """Ids of words as bytes, found when first asked for; forgets all when there are ``MOST_WORDS``."""
+
+    def __init__(self, learn):
+        self.learn = learn
+        self[""] = b""
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+            self[""] = b""
+        out = self[word] = self.learn(word)
+        return out
+
+
 class WordEncoder:
-    """Ids of a text as little-endian bytes, by way of a bounded memory of its words.
+    """Ids of a text as little-endian bytes, by way of a bounded memory of its words where that is right.
 
-    The tokenizer drops white space and never joins what it separates, so a text's ids are the ids of
-    its words in turn. It parts letters and digits from the stops after them and folds case, so a
-    word is looked up without its closing stops, and in lower case if it is of ASCII letters alone.
+    Of a tokenizer that drops white space and never joins what it separates, a text's ids are the ids
+    of its words in turn. One that also parts letters and digits from the stops after them and folds
+    case gives a word the ids of its core and its stops. Both are tried on ``PROBES`` and ``texts``; a
+    tokenizer that fails encodes whole texts.
     """
 
-    STOPS = ".,;:!?"
+    STOPS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
-    def __init__(self, tokenizer_json: str, width: int, end_id: int):
+    def __init__(self, tokenizer_json: str, width: int, end_id: int, texts: list[str] = (), by_word: bool | None = None):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model = self.tokenizer.model
-        # whether the shorter way gives the same ids is seen on words of every Latin-1 letter
+        self.code = {2: "H", 4: "I"}[width]
+        self.end = self._bytes([end_id])
+        # whether the model takes letters as they are is seen on words of every Latin-1 letter
         self.plain = True
         letters = [chr(c) for c in range(256) if chr(c).isalpha()]
         for probe in [*letters, *(f"ab{x}cd" for x in letters), *(f"{x.upper()}e" for x in letters)]:
             coded = self._letters(probe)
-            if coded is not None and [t.id for t in self.model.tokenize(coded)] != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+            if coded is not None and [t.id for t in self.model.tokenize(coded)] != self._ids(probe):
                 self.plain = False
-        self.dtype = f"<u{width}"
-        self.end = np.array([end_id], self.dtype).tobytes()
-        self.words: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {"": b""}
-        # what was remembered before; words still in use move on from here when the memory is full
-        self.old_words: dict[str, bytes] = {}
-        self.old_cores: dict[str, bytes] = {}
-
-    def _parts(self, word: str) -> tuple[str, str]:
-        core = word.rstrip(self.STOPS)
-        # a letter may fold to one with a mark, which would stick to the stops
-        if not core or not core[-1].isalnum() or not core[-1].lower().isalnum():
-            return word, ""
-        return (core.lower() if core.isascii() and core.isalpha() else core), word[len(core) :]
+        self.words = Words(self._word)
+        self.by_word = by_word
+        if by_word is None:
+            self.by_word = all(self._join(t) == self._bytes(self._ids(t)) for t in [*PROBES, *texts])
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def _letters(self, core: str) -> str | None:
         """What the tokenizer makes of a word of Latin-1 letters before its model: the word in lower case,
@@ -91,56 +118,33 @@ class WordEncoder:
             return None
         return core.lower().encode("utf-8").decode("latin-1").translate(BYTE_CHARACTERS)
 
-    def _learn(self, new: list[str]) -> None:
-        parts = [self._parts(w) for w in new]
-        if len(self.cores) + 2 * len(new) > MOST_WORDS:
-            self.old_cores, self.cores = self.cores, {"": b""}
-        unknown = []
-        for core in {x for p in parts for x in p}.difference(self.cores):
-            if core in self.old_cores:
-                self.cores[core] = self.old_cores[core]
-            else:
-                unknown.append(core)
-        odd = []
-        for core in unknown:
-            letters = self._letters(core)
-            if letters is None:
-                odd.append(core)
-            else:
-                self.cores[core] = np.array([t.id for t in self.model.tokenize(letters)], self.dtype).tobytes()
-        for start in range(0, len(odd), 1024):
-            some = odd[start : start + 1024]
-            for core, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.cores[core] = np.array(got.ids, self.dtype).tobytes()
-        for word, (core, stops) in zip(new, parts, strict=True):
-            self.words[word] = self.cores[core] + self.cores[stops]
+    def _word(self, word: str) -> bytes:
+        if self.plain and word.isascii() and word.isalpha():
+            low = word.lower()
+            return self._bytes([t.id for t in self.model.tokenize(word)]) if low == word else self.words[low]
+        core = word.rstrip(self.STOPS)
+        # a letter may fold to one with a mark, which would stick to the stops
+        if core and len(core) < len(word) and core[-1].isalnum() and core[-1].lower().isalnum():
+            return self.words[core] + self.words[word[len(core) :]]
+        letters = self._letters(word)
+        return self._bytes(self._ids(word) if letters is None else [t.id for t in self.model.tokenize(letters)])
+
+    def _join(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        out = []
-        for text in texts:
-            words = (text or "").replace("\n", " ").split(" ")
-            new = set(words).difference(self.words)
-            if new and len(self.words) + len(new) > MOST_WORDS:
-                self.old_words, self.words = self.words, {"": b""}
-                new = set(words).difference(self.words)
-            unknown = []
-            for word in new:
-                if word in self.old_words:
-                    self.words[word] = self.old_words[word]
-                else:
-                    unknown.append(word)
-            if unknown:
-                self._learn(unknown)
-            out.append(b"".join(map(self.words.__getitem__, words)) + self.end)
-        return out
+        if self.by_word:
+            return [self._join(text or "") + self.end for text in texts]
+        found = self.tokenizer.encode_batch_fast([text or "" for text in texts], add_special_tokens=False)
+        return [self._bytes(x.ids) + self.end for x in found]
 
 
-def _encoder(tokenizer_json: str, width: int, end_id: int) -> WordEncoder:
+def _encoder(tokenizer_json: str, width: int, end_id: int, by_word: bool) -> WordEncoder:
     """The encoder of this Python process: a worker keeps its words from task to task."""
     memory = sys.modules.setdefault("gridseries_worker_memory", types.ModuleType("gridseries_worker_memory"))
-    key = (hash(tokenizer_json), width, end_id)
+    key = (hash(tokenizer_json), width, end_id, by_word)
     if getattr(memory, "key", None) != key:
-        memory.key, memory.encoder = key, WordEncoder(tokenizer_json, width, end_id)
+        memory.key, memory.encoder = key, WordEncoder(tokenizer_json, width, end_id, by_word=by_word)
     return memory.encoder
 
 
@@ -151,20 +155,21 @@ def _width(tokenizer_json: str, end_id: int) -> int:
     return 2 if max([end_id, *vocabulary.values()]) < 1 << 16 else 4
 
 
-def train_dictionary(docs: DataFrame, tokenizer_json: str, width: int, end_id: int = END_ID) -> bytes:
-    """Dictionary trained on a bounded sample of serialized documents; empty if they are too few."""
+def train_dictionary(docs: DataFrame, tokenizer_json: str, width: int, end_id: int = END_ID) -> tuple[bytes, bool]:
+    """Dictionary trained on a bounded sample of serialized documents, empty if they are too few; whether
+    texts may be encoded word by word."""
     # a share of the ids that gives about SAMPLE_ROWS rows, so that no task sends more than its part
     share = max(1, docs.count() // SAMPLE_ROWS)
     sample = sorted(
         docs.where((F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(share)) == 0) & F.length("text").between(1, SAMPLE_CHARS))
         .select("text").limit(2 * SAMPLE_ROWS).collect()
     )
-    encoder = WordEncoder(tokenizer_json, width, end_id)
+    encoder = WordEncoder(tokenizer_json, width, end_id, [r["text"] for r in sample[:COMPARED_ROWS]])
     arrays = encoder.encode([r["text"] for r in sample])
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes() if len(arrays) >= 50 else b""
+        return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes() if len(arrays) >= 50 else b"", encoder.by_word
     except zstandard.ZstdError:
-        return b""
+        return b"", encoder.by_word
 
 
 def write(
@@ -181,7 +186,7 @@ def write(
         tokenizer_json = f.read()  # travels with the job: executors need no file
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     width = _width(tokenizer_json, end_id)
-    dictionary = train_dictionary(docs, tokenizer_json, width, end_id)
+    dictionary, by_word = train_dictionary(docs, tokenizer_json, width, end_id)
     dict_hash = hashlib.sha256(dictionary).hexdigest()
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = sorted(set(docs.approxQuantile("doc_id", [i / count for i in range(1, count)], 0.2 / count))) if count > 1 else []
@@ -189,7 +194,7 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         json, trained, bounds = shared.value
-        encoder = _encoder(json, width, end_id)
+        encoder = _encoder(json, width, end_id, by_word)
         pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
         for batch in batches:
             ids = batch.column("doc_id")

@@ -20,7 +20,7 @@ def plain(text):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.one_of(st.text(max_size=40), st.text(alphabet="aZé'.,!?stdm \n\t1<|endoftext|>İΣ́ﬁ", max_size=40)))
+@given(st.one_of(st.text(max_size=40), st.text(alphabet="aZé'.,!?stdm \n\t1<|endoftext|>İΣ́ﬁ$%&*#(_\\", max_size=40)))
 def test_words_give_the_ids_of_the_whole_text(text):
     text = text.encode("utf-8", "ignore").decode()
     assert np.frombuffer(ENCODER.encode([text])[0], "<u2").tolist() == plain(text)
@@ -34,6 +34,17 @@ def test_forgetting_words_changes_nothing(monkeypatch):
         assert np.frombuffer(got, "<u4").tolist() == plain(text)
 
 
+def test_a_tokenizer_that_keeps_white_space_encodes_whole_texts(spark, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other = Tokenizer.from_file(path)
+    assert not token_files.WordEncoder(other.to_str(), 2, 2).by_word and ENCODER.by_word
+    texts = ["Hello World, this is New York.", "a  b\n c", "", None, "it's 1,234.5"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    token_files.write(docs, f"{tmp_path}/other", path, buckets=2)
+    got = {r["doc_id"]: r["ids"] for r in token_files.read(spark, f"{tmp_path}/other").collect()}
+    assert got == {i: other.encode(t or "", add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+
+
 def test_files_hold_the_ids_of_every_document_in_order(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     path = f"file://{tmp_path}/set"
