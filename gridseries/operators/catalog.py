@@ -7,12 +7,14 @@ A catalogue has one row per node: ``dna`` (names joined by dots), ``parts``, ``n
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridseries.functions import textparts as X
 from gridseries.functions import timeparts as T
+from gridseries.operators.store import fill_grid
 
 KINDS = ("root", "publisher", "report", "field", "file", "property")
 
@@ -37,7 +39,8 @@ def find_nodes(catalog: DataFrame, locator: str | None) -> DataFrame:
     text = locator.strip("/").replace("/", ".").lower()
     if text.endswith(".>>"):
         above = find_nodes(catalog, locator[:-3]).select(F.col("dna").alias("__above"))
-        below = catalog.where("kind = 'file'").join(above, F.col("dna").startswith(F.concat("__above", F.lit("."))))
+        prefixes = F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda n: F.array_join(F.slice("parts", 1, n), "."))
+        below = catalog.where("kind = 'file' and size(parts) > 1").withColumn("__above", F.explode(prefixes)).join(above, "__above", "left_semi")
         return below.orderBy("dna").limit(1).drop("__above")
     low = F.lower("dna")
     whole = catalog.where(low == text)
@@ -105,10 +108,14 @@ def read_node(store: DataFrame, dna: str, tz: str | None = None, start: str | No
     return to_timezone(slice_time(store, start, end, tz or "UTC"), tz, truncate_tz=True)
 
 
-def resolution_of(series: DataFrame, keys: list[str] = ()) -> Column:
-    """Seconds between the first two stamps of each group, as a frame ``keys, step_s``."""
-    rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy("ts"))
-    two = series.withColumn("__r", rank).where("__r <= 2")
+def resolution_of(series: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """``keys, step_s``: seconds between the first two distinct stamps of each group, 0 if there is one.
+    Null stamps are ignored."""
+    series = series.where("ts is not null")
+    if keys:
+        two = series.withColumn("__r", F.dense_rank().over(Window.partitionBy(*keys).orderBy("ts"))).where("__r <= 2")
+    else:
+        two = series.select("ts").distinct().orderBy("ts").limit(2)
     return two.groupBy(*keys).agg((T.seconds(F.max("ts")) - T.seconds(F.min("ts"))).alias("step_s"))
 
 
@@ -119,8 +126,7 @@ def upsample_linear(series: DataFrame, keys: list[str], step_s: int) -> DataFram
     stays null. No value is made past the last stamp.
     """
     bucket = series.groupBy(*keys, T.floor_to(F.col("ts"), step_s).alias("ts")).agg(F.avg("value").alias("value"))
-    span = bucket.groupBy(*keys).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    grid = span.select(*keys, F.explode(T.steps(F.col("a"), F.col("b"), step_s)).alias("ts")).join(bucket, [*keys, "ts"], "left")
+    grid = fill_grid(bucket, list(keys), step_s)
     order = Window.partitionBy(*keys).orderBy("ts")
     at = F.when(F.col("value").isNotNull(), F.struct(T.seconds(F.col("ts")).alias("t"), F.col("value").alias("v")))
     before = F.last(at, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -134,8 +140,6 @@ def upsample_linear(series: DataFrame, keys: list[str], step_s: int) -> DataFram
 
 def downsample_mean(series: DataFrame, keys: list[str], step_s: int) -> DataFrame:
     """Mean per bucket of ``step_s``; buckets without rows between the first and the last are null."""
-    from gridseries.operators.store import fill_grid
-
     means = series.groupBy(*keys, T.floor_to(F.col("ts"), step_s).alias("ts")).agg(F.avg("value").alias("value"))
     return fill_grid(means, list(keys), step_s)
 
@@ -145,16 +149,20 @@ def combine(frames: list[DataFrame], suffixes: list[str] | None = None, rename:
 
     Columns that occur in two frames or more get ``_1``, ``_2``, ... (or the given suffixes). With
     ``resolution`` auto or min coarser frames are brought to the finest step by straight lines, with max
-    or a number of seconds finer ones by means.
+    or a number of seconds finer ones by means. The steps of all frames are found in one job; a frame
+    of fewer than two stamps has no step and stays as it is.
     """
     suffixes = suffixes or [f"_{i}" for i in range(1, len(frames) + 1)]
     columns = [[c for c in f.columns if c != "ts"] for f in frames]
     several = {c for c in set(sum(columns, [])) if sum(c in own for own in columns) > 1}
-    steps = [resolution_of(f.select("ts")).first()["step_s"] for f in frames]
-    wanted = min(steps) if resolution in ("auto", "min") else max(steps) if resolution == "max" else int(resolution)
+    asked = [resolution_of(f).select(F.lit(i).alias("i"), "step_s") for i, f in enumerate(frames)]
+    found = {r["i"]: r["step_s"] for r in reduce(DataFrame.unionByName, asked).collect()}
+    steps = [found[i] for i in range(len(frames))]
+    known = [s for s in steps if s]
+    wanted = min(known, default=None) if resolution in ("auto", "min") else max(known, default=None) if resolution == "max" else int(resolution)
     out = None
     for frame, own, step, suffix in zip(frames, columns, steps, suffixes, strict=True):
-        if step != wanted:
+        if step and step != wanted:
             long = frame.unpivot(["ts"], own, "property", "value")
             move = upsample_linear if resolution in ("auto", "min") else downsample_mean
             frame = move(long, ["property"], wanted).groupBy("ts").pivot("property", own).agg(F.first("value"))
@@ -178,13 +186,23 @@ def fuzzy_search(catalog: DataFrame, words: list[str], n_best: int = 10, kind: s
     return left.orderBy(F.desc("score"), "dna").limit(n_best).select("dna", "score")
 
 
-def jaccard_match(names: DataFrame, candidates: DataFrame, n_best: int = 1, name: str = "name", candidate: str = "candidate", score=None) -> DataFrame:
+#: Candidates of a name match are broadcast; so many names take a few MB.
+MOST_CANDIDATES = 20_000
+
+
+def jaccard_match(
+    names: DataFrame, candidates: DataFrame, n_best: int = 1, name: str = "name", candidate: str = "candidate", score=None, most: int = MOST_CANDIDATES
+) -> DataFrame:
     """``name, candidate, score, rank``: the ``n_best`` most similar candidates of each name.
 
-    Candidates are a configured list (report or column names); each name meets each of them once.
+    Candidates are a configured list (report or column names) of at most ``most`` texts, which is
+    checked; each name meets each of them once, where the name lies.
     """
     score = score or (lambda a, b: X.jaccard(X.character_set(X.refine(a)), X.character_set(X.refine(b))))
-    pairs = names.select(name).distinct().crossJoin(candidates.select(candidate).distinct()).withColumn("score", score(F.col(name), F.col(candidate)))
+    listed = candidates.select(candidate).distinct()
+    if (n := listed.limit(most + 1).count()) > most:
+        raise ValueError(f"{n} or more candidates are too many to broadcast; the bound is {most}")
+    pairs = names.select(name).distinct().crossJoin(F.broadcast(listed)).withColumn("score", score(F.col(name), F.col(candidate)))
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy(name).orderBy(F.desc("score"), candidate)))
     return ranked.where(F.col("rank") <= n_best)
 

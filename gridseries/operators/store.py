@@ -79,11 +79,25 @@ def _filesystem(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at, Path
 
 
+#: Stamps of a grid that are one array at a time.
+GRID_BLOCK = 4096
+
+
+def grid_rows(series: DataFrame, keys: list[str], step_s: int) -> DataFrame:
+    """``keys, ts``: the regular grid of every group from its first to its last stamp.
+
+    A grid is opened to blocks first and each block to its stamps, so no row holds a whole grid.
+    """
+    block = step_s * GRID_BLOCK
+    span = series.groupBy(*keys).agg(T.seconds(F.min("ts")).alias("__a"), T.seconds(F.max("ts")).alias("__b"))
+    blocks = span.select(*keys, "__b", F.explode(F.sequence("__a", "__b", F.lit(block).cast("long"))).alias("__from"))
+    stamps = F.sequence("__from", F.least(F.col("__from") + block - step_s, F.col("__b")), F.lit(step_s).cast("long"))
+    return blocks.select(*keys, F.explode(stamps).alias("__at")).select(*keys, T.from_seconds(F.col("__at")).alias("ts"))
+
+
 def fill_grid(series: DataFrame, keys: list[str], step_s: int) -> DataFrame:
     """Every group on its regular grid from first to last stamp; new rows are null, stamps off the grid go."""
-    span = series.groupBy(*keys).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    grid = span.select(*keys, F.explode(T.steps(F.col("a"), F.col("b"), step_s)).alias("ts"))
-    return grid.join(series, [*keys, "ts"], "left")
+    return grid_rows(series, keys, step_s).join(series, [*keys, "ts"], "left")
 
 
 def infer_numeric(texts: DataFrame, keys: list[str], text: str = "text", least: float = 0.9) -> DataFrame:

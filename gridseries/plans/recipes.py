@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.functions import textparts as X
-from gridseries.operators import cells, market
+from gridseries.operators import cells, lake, market
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -78,16 +78,80 @@ def reservoirs(calendar: DataFrame, periods: DataFrame) -> list[Step]:
     return [partial(cells.drop_sparse, axis="columns", least=5), transposed(), numbers(), dated(calendar, periods)]
 
 
-def realization(replacements: list[tuple[str, str]], cues: list[cells.Cue], calendar: DataFrame, periods: DataFrame) -> list[Step]:
-    """Metered system realization: repaired cells, sections, plants summed from their units, ASCII names."""
+def realization(
+    replacements: list[tuple[str, str]], cues: list[cells.Cue], calendar: DataFrame, periods: DataFrame, names: dict[str, str] | None = None, modes: bool = False
+) -> list[Step]:
+    """Metered system realization: repaired cells, sections, plants summed from their units, ASCII names.
+
+    ``names`` renames units first, such as one whose gas turbine bears the plant's name alone. With
+    ``modes`` the result is the mode of each plant instead.
+    """
 
     def plants(long: DataFrame) -> DataFrame:
-        named = long.withColumn("property", X.transliterate(F.col("property")))
+        named = cells.rename_properties(long.withColumn("property", X.transliterate(F.col("property"))), names or {})
+        if modes:
+            return market.plant_modes(named, ["period", "ts"])
         return market.plant_totals(named, ["period", "ts"], ("Lignite", "Gas", "Oil"))[0]
 
     return [partial(cells.replace_values, patterns=replacements), sections(cues), transposed(), numbers(("file", "section")), dated(calendar, periods), plants]
 
 
+def market_balance(scheduled: str, activated: str, keys: tuple[str, ...] = ("period", "ts", "property")) -> list[Step]:
+    """After :func:`schedule`: the market schedule of a unit from two sections."""
+
+    def step(series: DataFrame) -> DataFrame:
+        pick = lambda name: series.where(F.col("section") == name)
+        return market.market_schedule(pick(scheduled), pick(activated), list(keys))
+
+    return [step]
+
+
+def unit_modes(section: str, index: tuple[str, ...] = ("period", "ts")) -> list[Step]:
+    """After :func:`schedule`: mode and energy of the plants that one section holds."""
+    return [lambda series: market.mode_pairs(series.where(F.col("section") == section), list(index))]
+
+
+def unit_availabilities(
+    cues: list[cells.Cue], periods: DataFrame, moves: DataFrame, shared: tuple[str, float, int], section: str = "Thermal", irregular: str = "_GT|_ST|_O", run_col: str | None = None
+) -> list[Step]:
+    """Availability of units: ``date, section, kind, unit, cell`` of sheets with one column for each kind.
+
+    ``periods`` has ``file, date``, ``moves`` the units that stand in a wrong section. Of ``section``
+    the units that match ``irregular`` go, as their plants are there too, and the total of ``shared``
+    (name, capacity of a unit, number of units) is split.
+    """
+    name, capacity, n = shared
+
+    def kinds(long: DataFrame) -> DataFrame:
+        rows = long.drop("row").withColumnsRenamed({"property": "unit", "pos": "row"}).join(periods, "file")
+        return market.availability_split(market.reclassify_units(rows, moves), run_col=run_col)
+
+    def units(rows: DataFrame) -> DataFrame:
+        own = rows.where(F.col("section") == section).withColumnRenamed("unit", "property")
+        own = cells.drop_columns_if(own, patterns=[irregular]).withColumnRenamed("property", "unit")
+        split = market.allocate_units(own.where(F.col("unit") == name), capacity, n)
+        return rows.where(F.col("section") != section).unionByName(own.where(F.col("unit") != name)).unionByName(split)
+
+    return [sections(cues), transposed(), kinds, units]
+
+
+def day_ahead_schedule(cues: list[cells.Cue], calendar: DataFrame, periods: DataFrame, reserves: tuple[str, ...] = (), suffixes: tuple[str, ...] = ("_Up", "_Down"), trigger: str = "^25$") -> list[Step]:
+    """Day-ahead scheduling: columns up to the last hour. In the ``reserves`` sections a blank name takes
+    the one before it, names take their suffix in turn, and the first position is no hour."""
+
+    def named(long: DataFrame) -> DataFrame:
+        if not reserves:
+            return long
+        held = F.col("section").isin(*reserves)
+        header = long.where(held).select("file", "section", F.col("row").alias("col"), F.col("property").alias("cell")).distinct()
+        names = cells.fill_header_names(header, list(suffixes), ("file", "section")).select("file", "section", F.col("col").alias("row"), "name")
+        moved = long.where(held & (F.col("pos") > 0)).join(names, ["file", "section", "row"])
+        moved = moved.withColumns({"property": F.col("name"), "pos": F.col("pos") - 1}).drop("name")
+        return long.where(~held).unionByName(moved)
+
+    return [partial(cells.truncate_at_trigger, trigger=trigger), sections(cues), transposed(), named, numbers(("file", "section")), dated(calendar, periods)]
+
+
 def results_summary(cues: list[cells.Cue], calendar: DataFrame, periods: DataFrame) -> list[Step]:
     """Market summaries: sections, transposed, columns of text dropped."""
     return [partial(cells.drop_sparse, axis="columns"), sections(cues), transposed(), partial(cells.drop_columns_if, text_valued=True), numbers(("file", "section")), dated(calendar, periods)]
@@ -114,3 +178,53 @@ def metered(pattern: str = "kWh") -> list[Step]:
 def balancing(least: int = 3) -> list[Step]:
     """Balancing sheets: header found below blank rows, fractions written out evaluated."""
     return [partial(cells.promote_header, least=least), lambda g: g.withColumn("cell", X.eval_fraction(F.col("cell")))]
+
+
+def continuous_trades(index: list[str]) -> list[Step]:
+    """Continuous intraday market: prices and quantities of each period and zone."""
+    return [partial(market.trade_stats, index=index)]
+
+
+def orders(index: list[str], key: str, keys: list[str], payloads: list[str], least: int | None = None) -> list[Step]:
+    """Deliveries, block orders and gas: one column for each key and payload."""
+    return [partial(market.order_tables, index=index, key=key, keys=keys, payloads=payloads, least=least)]
+
+
+def curves(period: str = "period", tz: str = "EET", resolution_min: int = 60) -> list[Step]:
+    """Aggregated demand and supply curves as a ladder."""
+    return [partial(market.supply_curves, period=period, tz=tz, resolution_min=resolution_min)]
+
+
+def offers(keys: list[str], order: list[str], service: str | None = None) -> list[Step]:
+    """Energy and capacity offers as ladders, those of every ``service`` on their own."""
+    return [partial(market.bid_ladder, keys=[*keys, *([service] if service else [])], order=order)]
+
+
+def coupling(key: str, names: list[str], payload: str, index: list[str]) -> list[Step]:
+    """Market coupling: net position by zone, or flow by border, in columns."""
+    return [partial(cells.pivot_mean, index=index, key=key, values=names, payload=payload)]
+
+
+def monthly_capacity(calendar: DataFrame, keys: list[str]) -> list[Step]:
+    """Net transfer capacities: windows with a profile of a day, as continuous hours."""
+    return [partial(market.expand_interval_profile, calendar=calendar, keys=keys)]
+
+
+def available_capacity(calendar: DataFrame, direction: Column, keys: tuple[str, ...] = ("date",)) -> list[Step]:
+    """Available transfer capacities by direction on the dates of the calendar."""
+    return [partial(market.directional_capacity, calendar=calendar, direction=direction, keys=keys)]
+
+
+def stamped(stamp: Column, skip: int = 0) -> list[Step]:
+    """Sheets that bring their own stamps."""
+    return [partial(cells.series_with_index, stamp=stamp, skip=skip)]
+
+
+def maintenance(files: DataFrame, units: DataFrame, calendar: DataFrame) -> list[Step]:
+    """Maintenance programmes (``file_name, unit, ord, mw, text``): of every year the last file of
+    ``files`` (``file_name, date``), intervals of its texts, available capacity by day."""
+
+    def last(rows: DataFrame) -> DataFrame:
+        return rows.join(lake.latest_per_year(files).select("file_name"), "file_name", "left_semi")
+
+    return [last, market.maintenance_extract, partial(market.maintenance_to_daily, units=units, calendar=calendar)]

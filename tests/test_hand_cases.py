@@ -270,3 +270,107 @@ def test_units_of_a_plant_whose_name_holds_a_unit_mark(spark):
     series = spark.createDataFrame(rows, "property string, ts int, value double")
     modes = {r["plant"]: r["mode"] for r in market.plant_modes(series, ["ts"]).collect()}
     assert modes == {"NORTH_STATION": "1GT+ST", "NORTH": "1GT"}
+
+
+def test_grid_of_several_blocks(spark):
+    rows = [("a", H(1), 1.0), ("a", H(2, 0, 1), 2.0), ("b", H(3), 5.0)]
+    got = store.fill_grid(series(spark, rows), ["property"], 5)
+    a = got.where("property = 'a'").agg(F.count("*"), F.countDistinct("ts"), F.min("ts"), F.max("ts"), F.count("value")).first()
+    assert tuple(a) == (17_293, 17_293, H(1), H(2, 0, 1), 2) and values(got.where("property = 'b'"), "ts") == [5.0]
+    none = series(spark, [("c", None, 1.0)])
+    assert store.fill_grid(none, ["property"], 5).count() == 0 and store.fill_grid(none.limit(0), ["property"], 5).count() == 0
+
+
+def test_combination_with_frames_without_a_step(spark):
+    wide = "ts timestamp_ntz, x double"
+    hours = spark.createDataFrame([(H(1), 1.0), (H(1, 1), 2.0)], wide)
+    single, empty = spark.createDataFrame([(H(1), 7.0)], wide), spark.createDataFrame([], wide)
+    got = {tuple(r) for r in catalog.combine([hours, single, empty]).collect()}
+    assert got == {(H(1), 1.0, 7.0, None), (H(1, 1), 2.0, None, None)}
+    assert catalog.combine([empty, empty]).count() == 0
+
+
+def test_first_file_below_a_node(spark):
+    leaves = spark.createDataFrame([("p", "r", "f", "x"), ("p", "r", "f", "a"), ("p", "rr", "f", "0")], "publisher string, report string, field string, file string")
+    tree = catalog.build_catalog(leaves, ["publisher", "report", "field", "file"])
+    assert catalog.resolve_node(tree, "p/r.>>").first()["dna"] == "root.p.r.f.a"
+
+
+def test_too_many_candidates_are_refused(spark):
+    names = spark.createDataFrame([("Load forecast",)], "name string")
+    listed = spark.createDataFrame([("LoadForecast",), ("Prices",), ("Prices",)], "candidate string")
+    assert catalog.jaccard_match(names, listed, most=2).first()["candidate"] == "LoadForecast"
+    with pytest.raises(ValueError, match="too many"):
+        catalog.jaccard_match(names, listed, most=1)
+
+
+def sheet(spark, *lines):
+    cells_of = [("f", r, c, x) for r, line in enumerate(lines) for c, x in enumerate(line)]
+    return spark.createDataFrame(cells_of, "file string, row int, col int, cell string")
+
+
+def test_recipe_of_unit_availabilities(spark):
+    from gridseries.plans import recipes
+
+    given = sheet(
+        spark, ("Thermal", None, None, None), ("BIG", "100", "90", "none"), ("BIG_GT1", "50", "45", "none"), ("TRIO", "60", "150", "late"), ("Hydro", None, None, None), ("LAKE", "7", "8", None),
+        ("STRAY", "1", "2", None), ("End", None, None, None),
+    )
+    cues = [cells.Cue("Thermal", "Thermal", "Hydro", False, False), cells.Cue("Hydro", "Hydro", "End", False, False)]
+    periods = spark.createDataFrame([("f", dt.date(2024, 1, 2))], "file string, date date")
+    moves = spark.createDataFrame([("STRAY", "Thermal")], "unit string, to_section string")
+    got = recipes.run(given, recipes.unit_availabilities(cues, periods, moves, ("TRIO", 49.0, 3)))
+    found = {(r["section"], r["kind"], r["unit"]): (r["date"].day, r["cell"]) for r in got.collect()}
+    assert found["Thermal", "Actual", "BIG"] == (1, "100") and found["Thermal", "Forecast", "BIG"] == (2, "90")
+    assert [found["Thermal", "Actual", f"TRIO{k}"][1] for k in (1, 2, 3)] == ["49", "11", "0"] and found["Thermal", "Reason", "TRIO3"] == (2, "late")
+    assert found["Thermal", "Forecast", "STRAY"] == (2, "2") and found["Hydro", "Forecast", "LAKE"] == (2, "8") and not any(u == "BIG_GT1" for _, _, u in found)
+
+
+def test_recipe_of_day_ahead_schedules(spark):
+    from gridseries.plans import recipes
+
+    given = sheet(
+        spark, ("", "x", "1", "25", "sum"), ("Reserve", None, None, None, None), ("UNIT", "Up", "5", "6", "11"), (None, "Down", "3", "4", "7"), ("End", None, None, None, None),
+    )
+    day = days(spark, "2024-06-01")
+    calendar = calendars.period_calendar(day, "EET", resolution_min=720)
+    cues = [cells.Cue("Reserve", "Reserve", "End", False, False)]
+    got = recipes.run(given, recipes.day_ahead_schedule(cues, calendar, day.select(F.lit("f").alias("file"), "period"), ("Reserve",)))
+    assert {(r["property"], r["pos"], r["value"]) for r in got.collect()} == {("UNIT_Up", 0, 5.0), ("UNIT_Up", 1, 6.0), ("UNIT_Down", 0, 3.0), ("UNIT_Down", 1, 4.0)}
+
+
+def test_recipes_over_long_frames(spark):
+    from gridseries.plans import recipes
+
+    trades = spark.createDataFrame([(1, 10.0, 2.0), (1, 20.0, 2.0)], "ts int, price double, quantity double")
+    assert tuple(recipes.run(trades, recipes.continuous_trades(["ts"])).first()) == (1, 15.0, 10.0, 20.0, 4.0)
+    blocks = trades.withColumn("kind", F.lit("base"))
+    assert recipes.run(blocks, recipes.orders(["ts"], "kind", ["base"], ["price"])).first()["base_price"] == 15.0
+    flows = spark.createDataFrame([(1, "A", 2.0), (1, "B", 3.0)], "ts int, border string, flow double")
+    assert tuple(recipes.run(flows, recipes.coupling("border", ["A", "B"], "flow", ["ts"])).first()) == (1, 2.0, 3.0)
+    bids = spark.createDataFrame([(1, "FCR", "Dn", 2.0), (1, "FCR", "Dn", 1.0), (1, "aFRR", "Dn", 9.0)], "ts int, service string, direction string, price double")
+    got = recipes.run(bids, recipes.offers(["ts"], ["price"], "service"))
+    assert {(r["service"], r["direction"], r["price"], r["step"]) for r in got.collect()} == {("FCR", "Down", 1.0, 0), ("FCR", "Down", 2.0, 1), ("aFRR", "Down", 9.0, 0)}
+    halves = spark.createDataFrame([(1, 1, "U", "S", 5.0), (1, 1, "U", "A", 2.0)], "period int, ts int, property string, section string, value double")
+    assert recipes.run(halves, recipes.market_balance("S", "A")).first()["value"] == 3.0
+
+
+def test_recipe_of_maintenance(spark):
+    from gridseries.plans import recipes
+
+    files = spark.createDataFrame([("old", dt.date(2024, 1, 1)), ("new", dt.date(2024, 3, 1))], "file_name string, date date")
+    rows = spark.createDataFrame([("old", "U", 0, 90.0, "9 1/5/2024 3/5/2024"), ("new", "U", 0, 40.0, "2 1/5/2024 2/5/2024")], "file_name string, unit string, ord int, mw double, text string")
+    units = spark.createDataFrame([("U", 100.0)], "unit string, nominal double")
+    calendar = spark.createDataFrame([(dt.date(2024, 5, d),) for d in (1, 2, 3)], "day date")
+    got = recipes.run(rows, recipes.maintenance(files, units, calendar))
+    assert values(got, "day", col="available") == [60.0, 60.0, 100.0]
+
+
+def test_modes_of_a_renamed_gas_turbine(spark):
+    from gridseries.plans import recipes
+
+    given = sheet(spark, ("Gas", None, None), ("SITE_THISVI", "5", "0"), ("SITE_THISVI_ST", "2", "0"), ("End", None, None))
+    day = days(spark, "2024-06-01")
+    calendar = calendars.period_calendar(day, "EET", resolution_min=720)
+    steps = recipes.realization([], [cells.Cue("Gas", "Gas", "End", False, False)], calendar, day.select(F.lit("f").alias("file"), "period"), {"SITE_THISVI": "SITE_THISVI_GT"}, modes=True)
+    assert values(recipes.run(given, steps), "ts", col="mode") == ["1GT+ST", ""]
