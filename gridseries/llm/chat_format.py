@@ -83,7 +83,12 @@ def format_conversations(turns: DataFrame, trained_roles: tuple[str, ...] = TRAI
     leaves = rows.groupBy("conv").agg(F.max_by("node", "idx").alias("leaf"))
     conversations = cut(leaves)
     one = conversations.groupBy("leaf").agg(F.min_by("conv", F.struct(F.col("conv").isNotNull(), "conv")).alias("of"))
-    paths = rows.join(one, rows["conv"].eqNullSafe(one["of"])).select("leaf", "idx", "node", "parent", "role", "text")
+    # the layout is made of lengths; every node's text is joined to it once, at the end
+    lengths = rows.select(
+        "conv", "idx", "node", "parent", F.col("role").isin(*trained_roles).alias("trained"),
+        F.length(F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(NAME_END))).alias("lead"), F.length(escape(F.col("text"))).alias("inner"),
+    )
+    paths = lengths.join(one, lengths["conv"].eqNullSafe(one["of"])).select("leaf", "idx", "node", "parent", "trained", "lead", "inner")
     # distinct paths in order
     count = partitions or max(1, int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     trails = paths.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "node"))), lambda x: x["node"]).alias("trail"))
@@ -93,23 +98,21 @@ def format_conversations(turns: DataFrame, trained_roles: tuple[str, ...] = TRAI
     )
     paths = cut(paths.join(ranked, "leaf"))
     # a node belongs to the first path that holds it
-    lead = F.length(F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(NAME_END)))
     nodes = paths.groupBy("node").agg(
-        F.min_by(F.struct("part", "leaf", "idx", "parent", "role", "text"), "rank").alias("x"), F.min("rank").alias("rank")
+        F.min_by(F.struct("part", "leaf", "idx", "parent", "trained", "lead", "inner"), "rank").alias("x"), F.min("rank").alias("rank")
     ).select("node", "rank", "x.*")
-    nodes = nodes.select(
+    nodes = cut(nodes.select(
         "node", "parent", F.col("idx").alias("depth"), "part", "rank", F.col("leaf").alias("owner"),
-        format_turn(F.col("role"), F.col("text")).alias("text"),
-        F.when(F.col("role").isin(*trained_roles), F.struct(lead.alias("lead"), F.length(escape(F.col("text"))).alias("inner"))).alias("loss"),
-    ).withColumn("size", F.length("text").cast("long"))
-    nodes = cut(nodes)
+        F.when(F.col("trained"), F.struct("lead", "inner")).alias("loss"),
+        (F.col("lead") + F.col("inner") + len(CLOSE)).cast("long").alias("size"),
+    ))
     within = Window.partitionBy("part").orderBy("rank", "depth").rowsBetween(Window.unboundedPreceding, -1)
     laid = (
         nodes.join(_offsets(nodes, "size"), "part")
         .withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0)))
         .withColumn("end", F.col("start") + F.col("size"))
     )
-    laid = cut(laid.select("node", "parent", "depth", "owner", "text", "size", "start", "end", "loss"))
+    laid = cut(laid.select("node", "parent", "depth", "owner", "start", "end", "loss"))
     # the runs of other owners on each path: these come before what the path owns itself
     spans = laid.select("node", "owner", "start", "end")
     before = (
@@ -126,7 +129,8 @@ def format_conversations(turns: DataFrame, trained_roles: tuple[str, ...] = TRAI
         grown = F.concat(F.slice(have, 1, F.greatest(F.size(have) - 1, F.lit(0))), F.array(F.struct(last["start"].alias("start"), span["end"].alias("end"))))
         return F.when(last["end"] == span["start"], grown).otherwise(F.concat(have, F.array(span)))
 
-    out = laid.join(runs, "owner").withColumn("spans", F.concat(F.coalesce("before", empty), own)).select(
+    texts = rows.dropDuplicates(["node"]).select("node", format_turn(F.col("role"), F.col("text")).alias("text"))
+    out = laid.join(runs, "owner").withColumn("spans", F.concat(F.coalesce("before", empty), own)).join(texts, "node").select(
         "node", "parent", "depth", "text", "start", "end",
         F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"]).alias("position"),
         F.aggregate("spans", empty, merge).alias("ancestors"),
