@@ -99,12 +99,19 @@ def node_relations(catalog: DataFrame, of: DataFrame, relation: str, kind: str |
 
 def read_node(store: DataFrame, dna: str, tz: str | None = None, start: str | None = None, end: str | None = None, levels: tuple[str, ...] = KINDS[1:-1]) -> DataFrame:
     """Stored rows below a node (a property of its own, or all of a file or folder), in wall time of
-    ``tz`` and sliced. The names become filters on the partition columns, so the scan is pruned."""
+    ``tz`` and sliced. The names become filters on the partition columns, so the scan is pruned.
+    A property that the file lacks is null at every stamp of the file (one look for a first row)."""
     from gridseries.operators.calendars import slice_time, to_timezone
 
     names = dna.split(".")[1:]
-    for level, name in zip([*levels, "property"], names, strict=False):
+    for level, name in zip(levels, names, strict=False):
         store = store.where(F.lower(level) == name.lower())
+    if len(names) > len(levels):
+        name, file = names[len(levels)], store
+        store = file.where(F.lower("property") == name.lower())
+        if store.isEmpty():
+            nulls = {c: F.lit(None).cast(t) for c, t in file.dtypes if c not in (*levels, "ts")} | {"property": F.lit(name)}
+            store = file.select(*levels, "ts").distinct().withColumns(nulls).select(file.columns)
     return to_timezone(slice_time(store, start, end, tz or "UTC"), tz, truncate_tz=True)
 
 

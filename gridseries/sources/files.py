@@ -15,19 +15,31 @@ from gridseries.operators.catalog import build_catalog
 STAMP = "yyyy-MM-dd HH:mm"
 
 
+def begins_as_utf16(spark: SparkSession, path: str) -> bool:
+    """Whether the first line that is read below a path begins with a byte order mark of UTF-16."""
+    first = spark.read.text(path).select(F.hex(F.substring(F.col("value").cast("binary"), 1, 2)).alias("mark")).first()
+    return first is not None and first["mark"] in ("FFFE", "FEFF")
+
+
 def read_series(
     spark: SparkSession, path: str, tz: str | None = None, sep: str = ",", decimal: str = ".", encoding: str = "UTF-8", columns: list[str] | None = None, text_columns: tuple[str, ...] = (), order: str | None = None
 ) -> DataFrame:
     """Wide series of CSV files: the first column is ``ts``, the others doubles (or texts, as named).
 
     Stamps are read to the minute, as dates, or freely. With ``tz`` they are wall time and come out in
-    UTC; to tell the two instants of a repeated hour apart rows need an ``order`` column.
+    UTC; to tell the two instants of a repeated hour apart rows need an ``order`` column. Named columns
+    that the files lack are null and stand last. Files that begin with the mark of UTF-16 are read as
+    such (all files of a path have one encoding); such a file is not split.
     """
-    raw = spark.read.csv(path, header=True, sep=sep, encoding=encoding)
+    wide_marked = encoding.upper() == "UTF-8" and begins_as_utf16(spark, path)
+    raw = spark.read.csv(path, header=True, sep=sep, encoding="UTF-16" if wide_marked else encoding, multiLine=wide_marked)
     index, *names = raw.columns
     names = [n for n in names if columns is None or n in columns]
     number = (lambda c: X.decimal_comma(F.col(f"`{c}`"))) if decimal == "," else (lambda c: X.number(F.col(f"`{c}`")))
     values = [F.col(f"`{n}`").alias(n) if n in text_columns else number(n).alias(n) for n in names]
+    lacking = [n for n in columns or [] if n not in raw.columns]
+    values += [F.lit(None).cast("string" if n in text_columns else "double").alias(n) for n in lacking]
+    names += lacking
     frame = raw.select(T.parse_stamp(F.col(f"`{index}`")).alias("ts"), *values)
     if tz is None:
         return frame

@@ -374,3 +374,20 @@ def test_modes_of_a_renamed_gas_turbine(spark):
     calendar = calendars.period_calendar(day, "EET", resolution_min=720)
     steps = recipes.realization([], [cells.Cue("Gas", "Gas", "End", False, False)], calendar, day.select(F.lit("f").alias("file"), "period"), {"SITE_THISVI": "SITE_THISVI_GT"}, modes=True)
     assert values(recipes.run(given, steps), "ts", col="mode") == ["1GT+ST", ""]
+
+
+def test_series_in_utf16_and_columns_that_files_lack(spark, tmp_path):
+    for name, encoding in (("a.csv", "utf-8"), ("b.csv", "utf-16")):
+        (tmp_path / name).write_text("t,Älpha,b\n2024-01-01 00:00,1.5,x\n2024-01-01 01:00,,y\n", encoding=encoding)
+        got = io.read_series(spark, str(tmp_path / name), columns=["Älpha", "none", "b"], text_columns=("b",))
+        assert got.columns == ["ts", "Älpha", "b", "none"]
+        assert [tuple(r) for r in got.orderBy("ts").collect()] == [(H(1), 1.5, "x", None), (H(1, 1), None, "y", None)]
+
+
+def test_read_node_of_a_property_that_the_file_lacks(spark):
+    rows = [("P", "R", "F", "f", "a", H(1), 1.0), ("P", "R", "F", "f", "b", H(1), 2.0), ("P", "R", "F", "f", "a", H(2), 3.0)]
+    store_rows = spark.createDataFrame(rows, "publisher string, report string, field string, file string, property string, ts timestamp_ntz, value double")
+    assert values(catalog.read_node(store_rows, "root.p.r.f.f.A"), "ts") == [1.0, 3.0]
+    got = catalog.read_node(store_rows, "root.p.r.f.f.none").orderBy("ts").collect()
+    assert [(r["property"], r["ts"], r["value"]) for r in got] == [("none", H(1), None), ("none", H(2), None)]
+    assert catalog.read_node(store_rows, "root.p.r.f.other.none").count() == 0
