@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from gridseries.llm import chat_format, license_scan, url_filter
+from gridseries.llm import chat_format, fill_middle, filter_audit, license_scan, url_filter
+from gridseries.llm.byte_bpe import op11_byte_bpe
 from gridseries.llm.chat_format import op8_chat_format
+from gridseries.llm.fill_middle import op13_fill_middle
+from gridseries.llm.filter_audit import op12_filter_audit
 from gridseries.llm.lattice import op10_embedding_near_dedup
 from gridseries.llm.license_scan import op2_license_scan
 from gridseries.llm.mixing import op7_mixing
@@ -25,10 +28,15 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_token_files": op9_token_files,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
     "op2_license_scan": license_scan.ORACLE,
     "op8_chat_format": chat_format.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
+    "op13_fill_middle": fill_middle.ORACLE,
 }

@@ -38,5 +38,5 @@ def test_stages_take_effect(spark, sf, tmp_path):
 
 
 def test_registered_names():
-    assert [n.partition("_")[0] for n in registry.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.partition("_")[0] for n in registry.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "simhash_near_dedup", "source_mixing", "best_fit_packing"]
