@@ -11,9 +11,12 @@ is one zstandard frame of little-endian ids, so a short one is read without its
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import sys
 import types
+import unicodedata
 import uuid
 import zlib
 from array import array
@@ -32,12 +35,12 @@ END_ID = 2
 DICTIONARY_BYTES = 65_536
 #: Bounds of the dictionary's training sample: documents, and characters of each (longer ones are not sampled).
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 8000
-#: Documents of the sample on which word by word is compared with whole texts.
-COMPARED_ROWS = 64
 #: A shard is closed at so many documents or compressed bytes.
 SHARD_ROWS, SHARD_BYTES = 1024, 4 << 20
 #: Words whose ids a task remembers.
 MOST_WORDS = 700_000
+#: Characters that are cut from the end of a word: ASCII, and neither letters, numbers nor part of a contraction.
+STOPS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 
 #: Byte-level tokenizers write a byte that is no visible Latin-1 character as one from U+0100 on, in turn.
@@ -45,11 +48,25 @@ _HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b
 BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 
 
-#: Fixed texts on which the two ways of encoding are compared, beside texts of the documents.
-PROBES = [
-    "Hello World, this is New York.", "it's we'll I'D 'tis", "a  b\tc\n d", "x1 22 3.14 1,234 (y) [z]; q!? -- #tag @me $5 50% a&b *c*", "ÀÉ straße ǅ İ ﬁ ñandú cigüeña",
-    "e\u0301 \u0301x ab\u0301. 数据 данные", "<|endoftext|> a<|endoftext|>b <b>", "word$$$ word.%%% Word,***", " lead and trail ",
-]
+#: Fixed value: the split pattern of word tokenizers that drop white space.
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def splits_words(tokenizer_json: str) -> bool:
+    """Whether a tokenizer is built so that a text's ids are those of its words: it normalises by NFC, lower
+    case and blanks for white space at most, its first split is ``WORD_SPLIT``, of which only the matches
+    stay, and no added token holds white space or ends with a stop."""
+    built = json.loads(tokenizer_json)
+    norm, cut = built.get("normalizer") or {"type": "Sequence", "normalizers": []}, built.get("pre_tokenizer") or {}
+    norms, cuts = norm.get("normalizers", [norm]), cut.get("pretokenizers", [cut])
+    blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+    return (
+        all(n == blanks or n in ({"type": "NFC"}, {"type": "Lowercase"}) for n in norms)
+        and cuts[0] == {"type": "Split", "pattern": {"Regex": WORD_SPLIT}, "behavior": "Removed", "invert": True}
+        and all(c.get("type") == "ByteLevel" and not c.get("add_prefix_space") and not c.get("use_regex") for c in cuts[1:])
+        and not built.get("truncation") and not built.get("padding")
+        and all(not re.search(r"\s", t["content"]) and t["content"][-1] not in STOPS and not (t["single_word"] or t["normalized"] or t["lstrip"] or t["rstrip"]) for t in built.get("added_tokens", []))
+    )
 
 
 class Words(dict):
@@ -70,33 +87,29 @@ class Words(dict):
 class WordEncoder:
     """Ids of a text as little-endian bytes, by way of a bounded memory of its words where that is right.
 
-    Of a tokenizer that drops white space and never joins what it separates, a text's ids are the ids
-    of its words in turn. One that also parts letters and digits from the stops after them and folds
-    case gives a word the ids of its core and its stops. Both are tried on ``PROBES`` and ``texts``; a
-    tokenizer that fails encodes whole texts.
+    Of a tokenizer that :func:`splits_words` a text's ids are the ids of its words in turn, and a word's are
+    those of its core and of the stops after it, if the core's normal form ends with a letter or number (it
+    may end with a mark, to which the stops would stick). Another tokenizer encodes whole texts.
     """
 
-    STOPS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
-
-    def __init__(self, tokenizer_json: str, width: int, end_id: int, texts: list[str] = (), by_word: bool | None = None):
+    def __init__(self, tokenizer_json: str, width: int, end_id: int):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.model = self.tokenizer.model
+        self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
         self.code = {2: "H", 4: "I"}[width]
         self.end = self._bytes([end_id])
+        self.by_word = splits_words(tokenizer_json)
         # whether the model takes letters as they are is seen on words of every Latin-1 letter
-        self.plain = True
+        self.plain = self.by_word
         letters = [chr(c) for c in range(256) if chr(c).isalpha()]
         for probe in [*letters, *(f"ab{x}cd" for x in letters), *(f"{x.upper()}e" for x in letters)]:
             coded = self._letters(probe)
             if coded is not None and [t.id for t in self.model.tokenize(coded)] != self._ids(probe):
                 self.plain = False
         self.words = Words(self._word)
-        self.by_word = by_word
-        if by_word is None:
-            self.by_word = all(self._join(t) == self._bytes(self._ids(t)) for t in [*PROBES, *texts])
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -122,9 +135,8 @@ class WordEncoder:
         if self.plain and word.isascii() and word.isalpha():
             low = word.lower()
             return self._bytes([t.id for t in self.model.tokenize(word)]) if low == word else self.words[low]
-        core = word.rstrip(self.STOPS)
-        # a letter may fold to one with a mark, which would stick to the stops
-        if core and len(core) < len(word) and core[-1].isalnum() and core[-1].lower().isalnum():
+        core = word.rstrip(STOPS)
+        if core and len(core) < len(word) and unicodedata.category((core if core.isascii() else self.normal(core))[-1])[0] in "LN":
             return self.words[core] + self.words[word[len(core) :]]
         letters = self._letters(word)
         return self._bytes(self._ids(word) if letters is None else [t.id for t in self.model.tokenize(letters)])
@@ -139,12 +151,12 @@ class WordEncoder:
         return [self._bytes(x.ids) + self.end for x in found]
 
 
-def _encoder(tokenizer_json: str, width: int, end_id: int, by_word: bool) -> WordEncoder:
+def _encoder(tokenizer_json: str, width: int, end_id: int) -> WordEncoder:
     """The encoder of this Python process: a worker keeps its words from task to task."""
     memory = sys.modules.setdefault("gridseries_worker_memory", types.ModuleType("gridseries_worker_memory"))
-    key = (hash(tokenizer_json), width, end_id, by_word)
+    key = (hash(tokenizer_json), width, end_id)
     if getattr(memory, "key", None) != key:
-        memory.key, memory.encoder = key, WordEncoder(tokenizer_json, width, end_id, by_word=by_word)
+        memory.key, memory.encoder = key, WordEncoder(tokenizer_json, width, end_id)
     return memory.encoder
 
 
@@ -155,21 +167,19 @@ def _width(tokenizer_json: str, end_id: int) -> int:
     return 2 if max([end_id, *vocabulary.values()]) < 1 << 16 else 4
 
 
-def train_dictionary(docs: DataFrame, tokenizer_json: str, width: int, end_id: int = END_ID) -> tuple[bytes, bool]:
-    """Dictionary trained on a bounded sample of serialized documents, empty if they are too few; whether
-    texts may be encoded word by word."""
+def train_dictionary(docs: DataFrame, tokenizer_json: str, width: int, end_id: int = END_ID) -> bytes:
+    """Dictionary trained on a bounded sample of serialized documents, empty if they are too few."""
     # a share of the ids that gives about SAMPLE_ROWS rows, so that no task sends more than its part
     share = max(1, docs.count() // SAMPLE_ROWS)
     sample = sorted(
         docs.where((F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(share)) == 0) & F.length("text").between(1, SAMPLE_CHARS))
         .select("text").limit(2 * SAMPLE_ROWS).collect()
     )
-    encoder = WordEncoder(tokenizer_json, width, end_id, [r["text"] for r in sample[:COMPARED_ROWS]])
-    arrays = encoder.encode([r["text"] for r in sample])
+    arrays = WordEncoder(tokenizer_json, width, end_id).encode([r["text"] for r in sample])
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes() if len(arrays) >= 50 else b"", encoder.by_word
+        return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes() if len(arrays) >= 50 else b""
     except zstandard.ZstdError:
-        return b"", encoder.by_word
+        return b""
 
 
 def write(
@@ -186,15 +196,15 @@ def write(
         tokenizer_json = f.read()  # travels with the job: executors need no file
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     width = _width(tokenizer_json, end_id)
-    dictionary, by_word = train_dictionary(docs, tokenizer_json, width, end_id)
+    dictionary = train_dictionary(docs, tokenizer_json, width, end_id)
     dict_hash = hashlib.sha256(dictionary).hexdigest()
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = sorted(set(docs.approxQuantile("doc_id", [i / count for i in range(1, count)], 0.2 / count))) if count > 1 else []
     shared = spark.sparkContext.broadcast((tokenizer_json, dictionary, np.array(cuts, dtype=np.float64)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        json, trained, bounds = shared.value
-        encoder = _encoder(json, width, end_id, by_word)
+        tokenizer, trained, bounds = shared.value
+        encoder = _encoder(tokenizer, width, end_id)
         pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
         for batch in batches:
             ids = batch.column("doc_id")

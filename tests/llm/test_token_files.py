@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -26,6 +27,23 @@ def test_words_give_the_ids_of_the_whole_text(text):
     assert np.frombuffer(ENCODER.encode([text])[0], "<u2").tolist() == plain(text)
 
 
+@pytest.mark.parametrize("stop", [".", "!?"])
+def test_every_letter_before_and_after_stops(stop):
+    letters = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts = [f"{x}{stop} a{x}{stop}{x} {stop}{x} {x.upper()}{stop}" for x in letters]
+    want = TOKENIZER.encode_batch(texts, add_special_tokens=False)
+    got = ENCODER.encode(texts)
+    assert [t for t, w, g in zip(texts, want, got, strict=True) if np.frombuffer(g, "<u2").tolist() != [*w.ids, 2]] == []
+
+
+def test_random_words_with_stops():
+    rnd = random.Random(5)
+    alphabet = "aZé1क़ড়שׁ\u0301\u0345İΣ.,!'-stm²½ "
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 12))) for _ in range(100_000)]
+    want = TOKENIZER.encode_batch(texts, add_special_tokens=False)
+    assert all(np.frombuffer(g, "<u2").tolist() == [*w.ids, 2] for w, g in zip(want, ENCODER.encode(texts), strict=True))
+
+
 def test_forgetting_words_changes_nothing(monkeypatch):
     monkeypatch.setattr(token_files, "MOST_WORDS", 6)
     encoder = token_files.WordEncoder(TOKENIZER.to_str(), 4, 2)
