@@ -5,8 +5,6 @@ A stored series is long: keys, ``ts`` (naive UTC), ``value``. Steps are in secon
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,28 +48,6 @@ def upsert(base: DataFrame, new: DataFrame, keys: list[str], step_s: int | None
     return one if step_s is None else fill_grid(one, [k for k in keys if k != "ts"], step_s)
 
 
-def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: list[str], keep: str = "existing", partition_by: list[str] = ()) -> None:
-    """Upsert into a Parquet folder: the merged table is written beside it, then takes its place.
-
-    The old table is set aside first and deleted last, so at no time is there less than one whole table:
-    after a crash it stands at ``path``, or else beside it with ``.old`` in its name.
-    """
-    fs, at, Path = _filesystem(spark, path)
-    if fs.exists(at):
-        base = spark.read.parquet(path)
-        beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-        upsert(base, new, keys, keep=keep).write.partitionBy(*partition_by).parquet(beside)
-        aside = Path(f"{beside}.old")
-        if not fs.rename(at, aside):
-            raise OSError(f"the merged table stays in {beside}")
-        if not fs.rename(Path(beside), at):
-            fs.rename(aside, at)
-            raise OSError(f"the merged table stays in {beside}")
-        fs.delete(aside, True)
-    else:
-        upsert(new, new.limit(0), keys, keep=keep).write.partitionBy(*partition_by).parquet(path)
-
-
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
@@ -120,22 +96,10 @@ def store_status(series: DataFrame, keys: list[str], max_ts: str | None = None)
     return out if max_ts is None else out.withColumn("up_to_date", F.col("max_ts") >= F.lit(max_ts).cast(T.NTZ))
 
 
-def rebuild_report(spark: SparkSession, path: str, fresh: DataFrame) -> str:
-    """The stored report is moved aside under the next free number and written anew; gives the backup's path.
-
-    ``fresh`` may read the stored report: it is written beside it before anything is moved.
-    """
-    fs, at, Path = _filesystem(spark, path)
-    beside, n = f"{path.rstrip('/')}.{uuid.uuid4().hex}", 1
-    fresh.write.parquet(beside)
-    while fs.exists(Path(f"{path.rstrip('/')}.backup{n}")):
-        n += 1
-    backup = f"{path.rstrip('/')}.backup{n}"
-    if fs.exists(at):
-        fs.rename(at, Path(backup))
-    if not fs.rename(Path(beside), at):
-        raise OSError(f"the rebuilt table stays in {beside}")
-    return backup
+def rebuild_report(table, fresh: DataFrame) -> int:
+    """The stored rows of a :class:`gridseries.operators.commits.Table` are replaced by ``fresh``, which may read
+    them; gives the version that holds what was stored before (-1 if nothing was)."""
+    return table.replace(fresh) - 1
 
 
 def profile_series(series: DataFrame, keys: list[str]) -> DataFrame:

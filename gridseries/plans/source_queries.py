@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridseries.operators import commits
 from gridseries.plans.base import HOURLY_SQL, hourly, query, scratch, table
 from gridseries.plans.cell_queries import TYPES
 from gridseries.plans.market_queries import LADDER_SQL, trades
@@ -137,5 +138,5 @@ def stream_upsert(spark, sf):
     load()
     series.where("ts >= '2024-01-18'").withColumn("value", F.col("value") + 100).write.mode("append").parquet(f"{at}/in")
     load()
-    return spark.read.parquet(f"{at}/out").select("ts", "property", "value")
+    return commits.Table(spark, f"{at}/out").read().select("ts", "property", "value")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridseries.functions import timeparts as T
-from gridseries.operators import store
+from gridseries.operators import commits, store
 from gridseries.plans.base import HOURLY_SQL, events, hourly, query, scratch, table
 
 # base: hours of even events; new: of all
@@ -86,10 +86,27 @@ def store_status(spark, sf):
 
 @query(f"SELECT ts, property, value, 1 AS backups FROM ({HOURLY_SQL})")
 def rebuild_report(spark, sf):
-    path = scratch(spark, "rebuild")
-    base(spark, sf).write.parquet(path)
-    backup = store.rebuild_report(spark, path, hourly(spark, sf))
-    return spark.read.parquet(path).withColumn("backups", F.lit(int(backup.rpartition("backup")[2])))
+    stored = commits.Table(spark, scratch(spark, "rebuild"))
+    stored.append(base(spark, sf))
+    store.rebuild_report(stored, hourly(spark, sf))
+    return stored.read().withColumn("backups", F.lit(len(stored.versions()) - 1))
+
+
+@query(f"""
+WITH v0 AS ({BASE_SQL}), n AS (SELECT ts, property, value + 100 AS value FROM ({HOURLY_SQL}) WHERE property IN ('click', 'view') AND day(ts) > 10),
+v1 AS (SELECT ts, property, coalesce(n.value, v0.value) AS value FROM v0 FULL JOIN n USING (ts, property))
+SELECT 0 AS version, ts, property, value FROM v0 UNION ALL SELECT 1, ts, property, value FROM v1
+UNION ALL SELECT 2, ts, property, value FROM v1 WHERE property = 'error' AND ts >= TIMESTAMP '2024-01-20'
+""")
+def upsert_versions(spark, sf):
+    stored = commits.Table(spark, scratch(spark, "versions"), partition_by=["property"], zones=("ts",))
+    stored.append(base(spark, sf))
+    revised = hourly(spark, sf).where("property in ('click', 'view') and day(ts) > 10").withColumn("value", F.col("value") + 100)
+    stored.upsert(revised, KEYS, keep="new", batch=("feed", 7))
+    stored.upsert(revised.withColumn("value", F.lit(-1.0)), KEYS, keep="new", batch=("feed", 7))  # the same batch again
+    cut = stored.slice(start="2024-01-20", where=F.col("property") == "error").where("property = 'error'")
+    kept = [stored.read(v).select(F.lit(v).alias("version"), "ts", "property", "value") for v in stored.versions()]
+    return kept[0].unionByName(kept[1]).unionByName(cut.select(F.lit(2).alias("version"), "ts", "property", "value"))
 
 
 SPREAD_SQL = "SELECT l_suppkey AS report, l_shipdate AS ts, CASE WHEN l_discount > 0.02 THEN l_quantity END AS value FROM lineitem"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridseries.operators import store
+from gridseries.operators import commits
 
 
 def stream_ingest(
@@ -29,11 +29,13 @@ def stream_ingest(
 def stream_upsert(
     stream: DataFrame, sink: str, checkpoint: str, keys: list[str], keep: str = "existing", partition_by: list[str] = ()
 ) -> StreamingQuery:
-    """Every batch is merged into ``sink`` with one row per key. ``keep='existing'`` never replaces a
-    stored row, ``keep='new'`` lets late revisions win. Repeating a batch changes nothing."""
+    """Every batch is merged into the table ``sink`` (:class:`gridseries.operators.commits.Table`) with one row per
+    key; only the partitions that it touches are rewritten. ``keep='existing'`` never replaces a stored row,
+    ``keep='new'`` lets late revisions win. A batch that comes again is skipped by its number."""
 
-    def merge(batch: DataFrame, _: int) -> None:
-        store.write_upsert(batch.sparkSession, sink, batch, keys, keep, partition_by)
+    def merge(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            commits.Table(batch.sparkSession, sink, partition_by).upsert(batch, keys, keep, batch=(checkpoint, number))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridseries.functions import textparts as X
 from gridseries.functions import timeparts as T
-from gridseries.operators import calendars, catalog, cells, lake, market, store
+from gridseries.operators import calendars, catalog, cells, commits, lake, market, store
 from gridseries.sources import files as io
 from gridseries.streaming import incremental
 
@@ -221,11 +221,11 @@ def test_csv_tree_scan(spark, tmp_path):
 
 
 def test_rebuild_keeps_a_backup_and_may_read_what_it_replaces(spark, tmp_path):
-    path = f"{tmp_path}/r"
-    series(spark, [("a", H(1), 1.0)]).write.parquet(path)
-    for n in (1, 2):
-        assert store.rebuild_report(spark, path, spark.read.parquet(path).withColumn("value", F.col("value") + 1)) == f"{path}.backup{n}"
-    assert spark.read.parquet(path).first()["value"] == 3.0
+    stored = commits.Table(spark, f"{tmp_path}/r")
+    stored.append(series(spark, [("a", H(1), 1.0)]))
+    for n in (0, 1):
+        assert store.rebuild_report(stored, stored.read().withColumn("value", F.col("value") + 1)) == n
+    assert [values(stored.read(v), "ts") for v in stored.versions()] == [[1.0], [2.0], [3.0]]
 
 
 def test_streamed_revisions(spark, tmp_path):
@@ -235,7 +235,7 @@ def test_streamed_revisions(spark, tmp_path):
         for value in (1.0, 2.0):
             series(spark, [("a", H(1), value)]).write.mode("append").parquet(f"{at}/in")
             incremental.stream_upsert(spark.readStream.schema(schema).parquet(f"{at}/in"), f"{at}/out", f"{at}/cp", ["property", "ts"], keep).awaitTermination()
-        assert values(spark.read.parquet(f"{at}/out"), "ts") == [want]
+        assert values(commits.Table(spark, f"{at}/out").read(), "ts") == [want]
 
 
 def test_user_functions(spark):
