@@ -16,10 +16,11 @@ from gridseries.plans import (
     market_queries,
     source_queries,
     store_queries,
+    update_queries,
 )
 from gridseries.plans.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "calendar_queries", "catalog_queries", "cell_queries", "flagship", "lake_queries", "market_queries", "source_queries", "store_queries"]
+__all__ = ["ORACLES", "QUERIES", "calendar_queries", "catalog_queries", "cell_queries", "flagship", "lake_queries", "market_queries", "source_queries", "store_queries", "update_queries"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
