@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gridseries.functions import textparts as X
 from gridseries.functions import timeparts as T
+from gridseries.operators import blocks
 from gridseries.operators.store import fill_grid
 
 KINDS = ("root", "publisher", "report", "field", "file", "property")
@@ -126,23 +127,20 @@ def resolution_of(series: DataFrame, keys: list[str] = ()) -> DataFrame:
     return two.groupBy(*keys).agg((T.seconds(F.max("ts")) - T.seconds(F.min("ts"))).alias("step_s"))
 
 
-def upsample_linear(series: DataFrame, keys: list[str], step_s: int) -> DataFrame:
+def upsample_linear(series: DataFrame, keys: list[str], step_s: int, block_s: int | None = None) -> DataFrame:
     """Every group on a finer grid from its first to its last bucket, by straight lines between values.
 
     Nulls between values are filled too; after the last value it is carried forward; before the first
-    stays null. No value is made past the last stamp.
+    stays null. No value is made past the last stamp. Blocks (see :mod:`gridseries.operators.blocks`) hold
+    100,000 stamps of the grid by default.
     """
     bucket = series.groupBy(*keys, T.floor_to(F.col("ts"), step_s).alias("ts")).agg(F.avg("value").alias("value"))
     grid = fill_grid(bucket, list(keys), step_s)
-    order = Window.partitionBy(*keys).orderBy("ts")
-    at = F.when(F.col("value").isNotNull(), F.struct(T.seconds(F.col("ts")).alias("t"), F.col("value").alias("v")))
-    before = F.last(at, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(at, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    marked = grid.withColumn("__b", before).withColumn("__a", after)
-    b, a, t = F.col("__b"), F.col("__a"), T.seconds(F.col("ts"))
+    marked = blocks.known_around(grid, list(keys), block_s or 100_000 * step_s)
+    b, a, t = F.col("before"), F.col("after"), T.seconds(F.col("ts"))
     line = b["v"] + (a["v"] - b["v"]) * (t - b["t"]) / (a["t"] - b["t"])
     value = F.when(F.col("value").isNotNull() | a.isNull(), F.coalesce("value", b["v"])).when(b.isNotNull(), line)
-    return marked.withColumn("value", value).drop("__a", "__b")
+    return marked.withColumn("value", value).drop("after", "before")
 
 
 def downsample_mean(series: DataFrame, keys: list[str], step_s: int) -> DataFrame:

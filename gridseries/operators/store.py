@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridseries.functions import timeparts as T
+from gridseries.operators import blocks
 
 
 def update_window(stored: DataFrame, reports: DataFrame, key: str = "report") -> DataFrame:
@@ -102,39 +103,22 @@ def rebuild_report(table, fresh: DataFrame) -> int:
     return table.replace(fresh) - 1
 
 
-def profile_series(series: DataFrame, keys: list[str]) -> DataFrame:
+def profile_series(series: DataFrame, keys: list[str], block_s: int = blocks.BLOCK_S) -> DataFrame:
     """One row per group: span, resolution (first difference), rows, nulls, mean, extremes, duplicated
-    stamps, missing records and edges of gaps."""
-    order = Window.partitionBy(*keys).orderBy("ts")
-    rank = F.dense_rank().over(order)
-    copies = F.count("*").over(Window.partitionBy(*keys, "ts"))
-    marked = series.withColumn("__rank", rank).withColumn("__copies", copies).withColumn("__before", F.lag("ts").over(order))
-    second = T.seconds(F.min(F.when(F.col("__rank") == 2, F.col("ts")))) - T.seconds(F.min("ts"))
-    steps = marked.groupBy(*keys).agg(second.alias("resolution_s"))
-    joined = marked.join(steps, keys)
-    leap = (T.seconds(F.col("ts")) - T.seconds(F.col("__before"))) != F.col("resolution_s")
-    return joined.groupBy(*keys).agg(
-        F.min("ts").alias("start"), F.max("ts").alias("end"), F.max("resolution_s").alias("resolution_s"), F.count("*").alias("n_rows"),
-        F.count_if(F.col("value").isNull()).alias("n_nulls"), F.avg("value").alias("mean"), F.min("value").alias("min_value"), F.max("value").alias("max_value"),
-        F.count_if(F.col("__copies") > 1).alias("n_duplicates"),
-        (F.floor((T.seconds(F.max("ts")) - T.seconds(F.min("ts"))) / F.max("resolution_s")) + 1 - F.count("*")).alias("n_missing"),
-        F.count_if(leap).alias("n_leaps"),
-    )
+    stamps, missing records and edges of gaps. Null stamps count as rows only."""
+    return blocks.profile(series, keys, block_s)
 
 
-def gap_report(series: DataFrame, keys: list[str], step_s: int) -> DataFrame:
+def gap_report(series: DataFrame, keys: list[str], step_s: int, block_s: int = blocks.BLOCK_S) -> DataFrame:
     """Rows whose step differs from the frequency: what is missing before them, in seconds (negative
     for a repeated stamp)."""
-    order = Window.partitionBy(*keys).orderBy("ts")
-    step = T.seconds(F.col("ts")) - T.seconds(F.lag("ts").over(order))
-    return series.withColumn("missing_s", step - step_s).where("missing_s <> 0").select(*keys, "ts", "missing_s")
+    found = blocks.steps(series, keys, block_s)
+    return found.select(*keys, "ts", (F.col("step_s") - step_s).alias("missing_s")).where("missing_s <> 0")
 
 
-def null_runs(series: DataFrame, keys: list[str]) -> DataFrame:
+def null_runs(series: DataFrame, keys: list[str], block_s: int = blocks.BLOCK_S) -> DataFrame:
     """Runs of consecutive nulls: first and last stamp and length."""
-    order = Window.partitionBy(*keys).orderBy("ts")
-    island = series.withColumn("__run", F.count("value").over(order))
-    return island.where("value is null").groupBy(*keys, "__run").agg(F.min("ts").alias("start"), F.max("ts").alias("end"), F.count("*").alias("length")).drop("__run")
+    return blocks.null_runs(series, keys, block_s)
 
 
 def null_run_histogram(runs: DataFrame, keys: list[str]) -> DataFrame:

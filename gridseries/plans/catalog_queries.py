@@ -90,7 +90,7 @@ def combine(spark, sf):
 
 
 @query(f"""
-WITH s AS (SELECT property, ts, CASE WHEN value > 3 THEN value END AS value FROM ({HOURLY_SQL}) WHERE hour(ts) % 3 = 0),
+WITH s AS (SELECT property, ts, CASE WHEN value > 3 THEN value END AS value FROM ({HOURLY_SQL})),
 sp AS (SELECT property, min(ts) AS a, max(ts) AS b FROM s GROUP BY 1), g AS (SELECT property, unnest(generate_series(a, b, INTERVAL 30 MINUTE)) AS ts FROM sp),
 j AS (SELECT g.property, g.ts, value, CASE WHEN value IS NOT NULL THEN epoch(g.ts) END AS t FROM g LEFT JOIN s USING (property, ts)),
 m AS (SELECT *, last_value(t IGNORE NULLS) OVER bw AS tb, last_value(value IGNORE NULLS) OVER bw AS vb, first_value(t IGNORE NULLS) OVER aw AS ta, first_value(value IGNORE NULLS) OVER aw AS va FROM j
@@ -98,8 +98,8 @@ m AS (SELECT *, last_value(t IGNORE NULLS) OVER bw AS tb, last_value(value IGNOR
 SELECT property, ts, round(CASE WHEN value IS NOT NULL OR va IS NULL THEN coalesce(value, vb) WHEN vb IS NOT NULL THEN vb + (va - vb) * (epoch(ts) - tb) / (ta - tb) END + 1e-7, 5) AS value FROM m
 """)
 def upsample_linear(spark, sf):
-    third = hourly(spark, sf).where("hour(ts) % 3 = 0").select("property", "ts", F.when(F.col("value") > 3, F.col("value")).alias("value"))
-    return catalog.upsample_linear(third, ["property"], 1800).withColumn("value", F.round(F.col("value") + 1e-7, 5))
+    every = hourly(spark, sf).select("property", "ts", F.when(F.col("value") > 3, F.col("value")).alias("value"))
+    return catalog.upsample_linear(every, ["property"], 1800).withColumn("value", F.round(F.col("value") + 1e-7, 5))
 
 
 @query("""
