@@ -154,10 +154,13 @@ def run_summary(log: DataFrame, key: str = "report") -> DataFrame:
 
 
 def log_facts(logs: DataFrame, text: str = "text", name: str = "name") -> DataFrame:
-    """Blocks ``<name>...</name>`` of a log as ``block``, its ``++key:value`` lines as map ``facts`` (in
-    lower case) and its warnings."""
-    body = F.regexp_extract(text, r"(?s)<(\w+)>(.*?)</\1>", 2)
-    blocks = logs.withColumn(name, F.regexp_extract(text, r"(?s)<(\w+)>(.*?)</\1>", 1)).withColumn("block", body)
+    """One row for every block ``<name>...</name>`` of a log, in order: its number ``nth``, ``block``, its
+    ``++key:value`` lines as map ``facts`` (in lower case) and its warnings. A log without blocks gives one
+    row with an empty one."""
+    pattern = F.lit(r"(?s)<(\w+)>(.*?)</\1>")
+    pairs = F.arrays_zip(F.regexp_extract_all(text, pattern, 1).alias("name"), F.regexp_extract_all(text, pattern, 2).alias("block"))
+    opened = logs.select("*", F.posexplode_outer(pairs).alias("nth", "__x"))
+    blocks = opened.withColumns({"nth": F.coalesce("nth", F.lit(0)), name: F.coalesce("__x.name", F.lit("")), "block": F.coalesce("__x.block", F.lit(""))}).drop("__x")
     lines = F.regexp_extract_all("block", F.lit(r"\+\+([^\n]*)"), 1)
     pair: Column = F.transform(
         F.filter(lines, lambda x: F.instr(x, ":") > 0),

@@ -24,6 +24,24 @@ def read_series(spark, sf):
     return io.read_series(spark, path, sep=";", decimal=",")
 
 
+@query(f"""
+SELECT ts, max(value) FILTER (property = 'click') AS click, max(value) FILTER (property = 'error' AND day(ts) % 3 <> 0) AS error, max(value) FILTER (property = 'view' AND day(ts) % 3 = 0) AS view, NULL::DOUBLE AS absent
+FROM ({HOURLY_SQL}) WHERE day(ts) % 4 <> 3 GROUP BY 1
+""")
+def read_series_by_header(spark, sf):
+    """Daily files of unequal headers: every third day another column and another order, every fourth no text."""
+    path = scratch(spark, "headers")
+    wide = hourly(spark, sf).groupBy("ts").pivot("property", ["click", "error", "view"]).agg(F.max("value"))
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    third, stamp = F.dayofmonth("ts") % 3 == 0, F.date_format("ts", io.STAMP)
+    line = F.when(third, F.concat_ws(",", stamp, cell("view"), cell("click"))).otherwise(F.concat_ws(",", stamp, cell("click"), cell("error")))
+    head = F.when(F.dayofmonth("day") % 3 == 0, "stamp,view,click").otherwise("ts,click,error")
+    files = wide.groupBy(F.date_trunc("day", "ts").alias("day")).agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("lines"))
+    text = F.when(F.dayofmonth("day") % 4 == 3, F.decode(F.unhex(F.lit("000102032C04")), "UTF-8")).otherwise(F.concat_ws("\n", head, "lines"))
+    files.select(F.dayofmonth("day").alias("day"), text.alias("value")).repartition("day").write.partitionBy("day").text(path)
+    return io.read_series(spark, path, columns=["click", "error", "view", "absent"])
+
+
 @query(f"""
 WITH m AS (SELECT period AS ts, aa, side, max(quantity) AS quantity, max(price) AS price FROM ({LADDER_SQL}) GROUP BY 1, 2, 3)
 SELECT ts, aa, side, quantity, price FROM m

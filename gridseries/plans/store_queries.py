@@ -173,16 +173,18 @@ def run_summary(spark, sf):
 
 
 @query("""
-SELECT o_orderkey, 'R' || o_custkey AS name, floor(o_totalprice)::BIGINT::VARCHAR AS total, lower(o_orderpriority) AS prio,
+SELECT o_orderkey, 0 AS nth, 'R' || o_custkey AS name, floor(o_totalprice)::BIGINT::VARCHAR AS total, lower(o_orderpriority) AS prio,
        CASE WHEN o_orderstatus = 'F' THEN 'WARNING late ' || o_orderkey END AS warning FROM orders
+UNION ALL SELECT o_orderkey, 1, 'S', o_custkey::VARCHAR, NULL, 'WARNING second' FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, 2, 'R' || o_custkey, NULL, 'again', NULL FROM orders WHERE o_orderkey % 3 = 0
 """)
 def log_facts(spark, sf):
     o = table(spark, sf, "orders")
+    more = F.concat(F.lit("<S>++Total:"), "o_custkey", F.lit("\nWARNING second\n</S>\n<R"), "o_custkey", F.lit(">\n++prio: AGAIN\n</R"), "o_custkey", F.lit(">"))
     text = F.concat(
         F.lit("noise <R"), "o_custkey", F.lit(">\n++Total: 0\n++ Total : "), F.floor("o_totalprice").cast("string"), F.lit("\nfree text\n++Prio:"), "o_orderpriority",
         F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("\nWARNING late "), "o_orderkey")).otherwise(""), F.lit("\n</R"), "o_custkey", F.lit("> noise"),
+        F.when(F.col("o_orderkey") % 3 == 0, more).otherwise(""),
     )
     found = store.log_facts(o.select("o_orderkey", text.alias("text")))
-    return found.select("o_orderkey", "name", F.col("facts")["total"].alias("total"), F.col("facts")["prio"].alias("prio"), F.try_element_at("warnings", F.lit(1)).alias("warning"))
-
-
+    return found.select("o_orderkey", "nth", "name", F.col("facts")["total"].alias("total"), F.col("facts")["prio"].alias("prio"), F.try_element_at("warnings", F.lit(1)).alias("warning"))

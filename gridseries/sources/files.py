@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import posixpath
+import unicodedata
+import urllib.parse
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,39 +19,119 @@ from gridseries.operators.catalog import build_catalog
 STAMP = "yyyy-MM-dd HH:mm"
 
 
-def begins_as_utf16(spark: SparkSession, path: str) -> bool:
-    """Whether the first line that is read below a path begins with a byte order mark of UTF-16."""
-    first = spark.read.text(path).select(F.hex(F.substring(F.col("value").cast("binary"), 1, 2)).alias("mark")).first()
-    return first is not None and first["mark"] in ("FFFE", "FEFF")
+MARKS = {b"\xff\xfe": ("UTF-16", "\n\0"), b"\xfe\xff": ("UTF-16", "\0\n"), b"\xef\xbb\xbf": ("UTF-8", None)}
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Files that have one header, and how it reads."""
+
+    encoding: str
+    columns: tuple[str, ...]
+    paths: tuple[str, ...]
+
+
+def _first_lines(spark: SparkSession, paths: str | list[str], line_sep: str | None = None) -> dict[str, bytes]:
+    """The first line of every file that has one. All lines are scanned, one row per file is kept."""
+    reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
+    at = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    lines = reader.text(paths).select(at.alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    first = lines.where("start = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("line", "n").alias("line"))
+    return {r["file"]: bytes(r["line"]) for r in first.collect()}  # as many rows as Spark's own listing of the files
+
+
+def _columns(header: str, sep: str) -> tuple[str, ...]:
+    """Names of a header line: blank ones take their number, of equal ones each has its number appended."""
+    names = [n.strip() for n in next(csv.reader([header], delimiter=sep), [])]
+    lower = [n.lower() for n in names]
+    return tuple(f"_c{k}" if not n else f"{n}{k}" if lower.count(n.lower()) > 1 else n for k, n in enumerate(names))
+
+
+def series_layouts(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> tuple[list[Layout], dict[str, str]]:
+    """Layouts of CSV files, and the reason for each file that has none: ``empty``, or ``unreadable`` if its first
+    line is no text of its encoding. A byte order mark decides the encoding of its file alone."""
+    heads, marked = _first_lines(spark, path), {}
+    listed = spark.read.text(path).inputFiles()
+    bad = dict.fromkeys(set(map(urllib.parse.unquote, listed)) - set(heads), "empty")
+    for mark, (_, line_sep) in MARKS.items():
+        wide = sorted(f for f, line in heads.items() if line.startswith(mark) and line_sep)
+        marked |= _first_lines(spark, wide, line_sep) if wide else {}
+    found: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    for file, line in sorted((heads | marked).items()):
+        mark = next((m for m in MARKS if line.startswith(m)), b"")
+        own = MARKS[mark][0] if mark else encoding
+        try:
+            header = line.decode(own if mark != b"\xef\xbb\xbf" else "utf-8-sig").rstrip("\r\n")
+        except UnicodeError:
+            bad[file] = "unreadable"
+            continue
+        if not header.strip():
+            bad[file] = "empty"
+        elif any(unicodedata.category(c) == "Cc" and c != "\t" for c in header) or "\ufffd" in header:
+            bad[file] = "unreadable"
+        else:
+            found.setdefault((own, _columns(header, sep)), []).append(file)
+    return [Layout(e, c, tuple(files)) for (e, c), files in found.items()], bad
+
+
+def _read_layout(spark: SparkSession, layout: Layout, sep: str) -> DataFrame:
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in layout.columns)
+    return spark.read.csv(list(layout.paths), header=True, schema=schema, sep=sep, encoding=layout.encoding, multiLine=layout.encoding == "UTF-16")
 
 
 def read_series(
-    spark: SparkSession, path: str, tz: str | None = None, sep: str = ",", decimal: str = ".", encoding: str = "UTF-8", columns: list[str] | None = None, text_columns: tuple[str, ...] = (), order: str | None = None
+    spark: SparkSession, path: str | list[str], tz: str | None = None, sep: str = ",", decimal: str = ".", encoding: str = "UTF-8", columns: list[str] | None = None, text_columns: tuple[str, ...] = (), order: str | None = None
 ) -> DataFrame:
     """Wide series of CSV files: the first column is ``ts``, the others doubles (or texts, as named).
 
+    Every file is read by its own header and mark: columns are joined by name, and a file that lacks one has nulls
+    there. Files of one layout are one scan, so only the columns asked for are parsed; a file in UTF-16 is not
+    split. Empty files and files that are no text are left out (see :func:`series_report`).
+
     Stamps are read to the minute, as dates, or freely. With ``tz`` they are wall time and come out in
     UTC; to tell the two instants of a repeated hour apart rows need an ``order`` column. Named columns
-    that the files lack are null and stand last. Files that begin with the mark of UTF-16 are read as
-    such (all files of a path have one encoding); such a file is not split.
+    that all files lack are null and stand last.
     """
-    wide_marked = encoding.upper() == "UTF-8" and begins_as_utf16(spark, path)
-    raw = spark.read.csv(path, header=True, sep=sep, encoding="UTF-16" if wide_marked else encoding, multiLine=wide_marked)
-    index, *names = raw.columns
-    names = [n for n in names if columns is None or n in columns]
-    number = (lambda c: X.decimal_comma(F.col(f"`{c}`"))) if decimal == "," else (lambda c: X.number(F.col(f"`{c}`")))
-    values = [F.col(f"`{n}`").alias(n) if n in text_columns else number(n).alias(n) for n in names]
-    lacking = [n for n in columns or [] if n not in raw.columns]
-    values += [F.lit(None).cast("string" if n in text_columns else "double").alias(n) for n in lacking]
-    names += lacking
-    frame = raw.select(T.parse_stamp(F.col(f"`{index}`")).alias("ts"), *values)
+    layouts, _ = series_layouts(spark, path, sep, encoding)
+    names = list(dict.fromkeys(c for x in layouts for c in x.columns[1:]))
+    wanted = [n for n in names if columns is None or n in columns] + [n for n in columns or [] if n not in names]
+    number = (lambda c: X.decimal_comma(c)) if decimal == "," else X.number
+    kind = lambda n: "string" if n in text_columns else "double"
+    quoted = lambda n: F.col(f"`{n.replace('`', '``')}`")
+    frame = None
+    for layout in layouts:
+        raw = _read_layout(spark, layout, sep)
+        own = [F.lit(None).cast(kind(n)) if n not in layout.columns[1:] else quoted(n) if n in text_columns else number(quoted(n)) for n in wanted]
+        one = raw.select(T.parse_stamp(quoted(layout.columns[0])).alias("ts"), *[c.alias(n) for c, n in zip(own, wanted, strict=True)])
+        frame = one if frame is None else frame.unionByName(one)
+    if frame is None:
+        frame = spark.createDataFrame([], "ts timestamp_ntz").select("ts", *[F.lit(None).cast(kind(n)).alias(n) for n in wanted])
     if tz is None:
         return frame
     if order is None:
         return frame.withColumn("ts", T.local_to_utc(F.col("ts"), tz))
     from gridseries.operators.calendars import from_local
 
-    return from_local(frame.withColumnRenamed("ts", "local_ts"), tz, order=(order,)).drop("local_ts").select("ts", *names)
+    return from_local(frame.withColumnRenamed("ts", "local_ts"), tz, order=(order,)).drop("local_ts").select("ts", *wanted)
+
+
+def series_report(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """``file, status, encoding, n_columns, n_rows, n_unstamped`` of every CSV file: ``read``, ``empty`` or
+    ``unreadable`` (then without the rest), and how many of its rows have no stamp that can be read."""
+    layouts, bad = series_layouts(spark, path, sep, encoding)
+    out = spark.createDataFrame([(f, why) for f, why in sorted(bad.items())], "file string, status string").withColumns(
+        {"encoding": F.lit(None).cast("string"), "n_columns": F.lit(None).cast("int"), "n_rows": F.lit(0).cast("long"), "n_unstamped": F.lit(0).cast("long")}
+    )
+    at = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")).alias("file")
+    for layout in layouts:
+        stamp = T.parse_stamp(F.col(f"`{layout.columns[0].replace('`', '``')}`"))
+        rows = _read_layout(spark, layout, sep).select(at, stamp.isNull().alias("bad")).groupBy("file").agg(F.count("*").alias("n_rows"), F.count_if("bad").alias("n_unstamped"))
+        every = spark.createDataFrame([(p,) for p in layout.paths], "file string").join(rows, "file", "left")
+        out = out.unionByName(every.select(
+            "file", F.lit("read").alias("status"), F.lit(layout.encoding).alias("encoding"), F.lit(len(layout.columns)).alias("n_columns"),
+            F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.coalesce("n_unstamped", F.lit(0)).cast("long").alias("n_unstamped"),
+        ))
+    return out
 
 
 def read_series_or_empty(spark: SparkSession, path: str, schema: str = "ts timestamp_ntz", **options) -> DataFrame:
@@ -139,9 +223,21 @@ def export_node(series: DataFrame, to_path: str, root: str, tz: str | None = Non
 FREQUENCIES = {"H": "hour", "D": "day", "M": "month", "Y": "year"}
 
 
+#: Functions of a bucket of values; buckets without rows are 0 for those of ``ZERO``, else null.
+AGGREGATIONS = {
+    "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count, "std": F.stddev_samp, "var": F.var_samp, "median": F.median,
+    "first": lambda v: F.min_by(v, F.when(F.col(v).isNotNull(), F.col("ts"))), "last": lambda v: F.max_by(v, F.when(F.col(v).isNotNull(), F.col("ts"))),
+}
+ZERO = ("sum", "count")
+
+
 def multi_freq(series: DataFrame, freqs: list[str], aggregations: dict[str, str] | None = None, default: str = "sum") -> dict[str, DataFrame]:
     """One long series (``property, ts, value``) per frequency; H is an unchanged copy. ``aggregations``
-    names a function per property. Buckets without rows between first and last are 0 for sums, else null."""
+    names a function per property, of ``AGGREGATIONS``; another one is refused. Buckets without rows between
+    first and last are 0 for sums and counts, else null. Of equal stamps ``first`` and ``last`` take any."""
+    used = sorted({default, *(aggregations or {}).values()})
+    if unknown := set(used) - set(AGGREGATIONS):
+        raise ValueError(f"no such function: {', '.join(sorted(unknown))}; there are {', '.join(AGGREGATIONS)}")
     out = {}
     how = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in (aggregations or {"": default}).items() for x in p]), F.col("property")), F.lit(default))
     for freq in freqs:
@@ -149,15 +245,14 @@ def multi_freq(series: DataFrame, freqs: list[str], aggregations: dict[str, str]
             out[freq] = series
             continue
         unit = FREQUENCIES[freq]
-        grouped = series.withColumn("how", how).groupBy("property", "how", F.date_trunc(unit, "ts").cast(T.NTZ).alias("ts")).agg(
-            *[getattr(F, f)("value").alias(f) for f in ("sum", "avg", "min", "max")], F.count("value").alias("count")
-        )
-        value = F.when(F.col("how") == "sum", F.col("sum")).when(F.col("how") == "mean", F.col("avg")).when(F.col("how") == "min", F.col("min")).when(F.col("how") == "max", F.col("max"))
-        values = grouped.select("property", "how", "ts", value.alias("value"))
+        bucket = F.date_trunc(unit, "ts").cast(T.NTZ)
+        grouped = series.withColumn("how", how).groupBy("property", "how", bucket.alias("__ts")).agg(*[AGGREGATIONS[f]("value").cast("double").alias(f) for f in used])
+        value = F.coalesce(*[F.when(F.col("how") == f, F.col(f)) for f in used])
+        values = grouped.select("property", "how", F.col("__ts").alias("ts"), value.alias("value"))
         span = values.groupBy("property", "how").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
         grid = span.select("property", "how", F.explode(F.sequence("a", "b", F.expr(f"interval 1 {unit}"))).alias("ts"))
         filled = grid.join(values, ["property", "how", "ts"], "left")
-        out[freq] = filled.select("property", "ts", F.when(F.col("value").isNull() & (F.col("how") == "sum"), 0.0).otherwise(F.col("value")).alias("value"))
+        out[freq] = filled.select("property", "ts", F.when(F.col("value").isNull() & F.col("how").isin(*ZERO), 0.0).otherwise(F.col("value")).alias("value"))
     return out
 
 

@@ -391,3 +391,43 @@ def test_read_node_of_a_property_that_the_file_lacks(spark):
     got = catalog.read_node(store_rows, "root.p.r.f.f.none").orderBy("ts").collect()
     assert [(r["property"], r["ts"], r["value"]) for r in got] == [("none", H(1), None), ("none", H(2), None)]
     assert catalog.read_node(store_rows, "root.p.r.f.other.none").count() == 0
+
+
+def test_files_of_unequal_headers_and_encodings(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    write = lambda name, text, encoding="utf-8": (tmp_path / "d" / name).write_bytes(text if isinstance(text, bytes) else text.encode(encoding))
+    write("1.csv", "ts,A,B\n2024-01-01 00:00,1,2\n")
+    write("2 +é%41.csv", "ts,B,C\r\n2024-01-01 01:00,3,4\r\n")
+    write("3.csv", "when,C,Ċ\n2024-01-01 02:00,5,6\n", "utf-16")
+    write("4.csv", b"\xfe\xff" + "ts,Ċ,A\n2024-01-01 03:00,7,8\nnever,1,1\n".encode("utf-16-be"))
+    write("5.csv", "ts,A\n2024-01-01 04:00,9\n", "utf-8-sig")
+    write("6.csv", b"\x00\x01\x80\xff,\n\x00\n")
+    write("7.csv", "")
+    write("8.csv", "ts,A,a,\n2024-01-01 05:00,10,11,12\n")
+    got = io.read_series(spark, f"{tmp_path}/d")
+    assert got.columns[0] == "ts" and set(got.columns[1:]) == {"A", "B", "C", "Ċ", "A1", "a2", "_c3"}
+    rows = {r.ts.hour: {k: v for k, v in r.asDict().items() if v is not None and k != "ts"} for r in got.where("ts is not null").collect()}
+    assert rows == {0: {"A": 1, "B": 2}, 1: {"B": 3, "C": 4}, 2: {"C": 5, "Ċ": 6}, 3: {"Ċ": 7, "A": 8}, 4: {"A": 9}, 5: {"A1": 10, "a2": 11, "_c3": 12}}
+    report = {r.file.rpartition("/")[2]: (r.status, r.encoding, r.n_columns, r.n_rows, r.n_unstamped) for r in io.series_report(spark, f"{tmp_path}/d").collect()}
+    assert report == {
+        "1.csv": ("read", "UTF-8", 3, 1, 0), "2 +é%41.csv": ("read", "UTF-8", 3, 1, 0), "3.csv": ("read", "UTF-16", 3, 1, 0), "4.csv": ("read", "UTF-16", 3, 2, 1), "5.csv": ("read", "UTF-8", 2, 1, 0),
+        "6.csv": ("unreadable", None, None, 0, 0), "7.csv": ("empty", None, None, 0, 0), "8.csv": ("read", "UTF-8", 4, 1, 0),
+    }
+
+
+def test_all_blocks_of_a_log(spark):
+    logs = spark.createDataFrame([(1, "<R1>\n++a:1\n</R1> between <R2>++A : 2\nWARNING x\n</R2><R1></R1>"), (2, "no block"), (3, None)], "id int, text string")
+    got = [(r.id, r.nth, r["name"], dict(r.facts), r.warnings) for r in store.log_facts(logs).orderBy("id", "nth").collect()]
+    assert got == [(1, 0, "R1", {"a": "1"}, []), (1, 1, "R2", {"a": "2"}, ["WARNING x"]), (1, 2, "R1", {}, []), (2, 0, "", {}, []), (3, 0, "", {}, [])]
+
+
+def test_functions_of_other_frequencies(spark):
+    rows = [("a", H(1, 1), 4.0), ("a", H(1, 2), 1.0), ("a", H(1, 3), None), ("a", H(3), 5.0)]
+    frame = series(spark, rows)
+    found = {f: values(io.multi_freq(frame, ["D"], {"a": f})["D"], "ts") for f in io.AGGREGATIONS}
+    assert found == {
+        "sum": [5, 0, 5], "mean": [2.5, None, 5], "min": [1, None, 5], "max": [4, None, 5], "count": [2, 0, 1], "std": [pytest.approx(4.5**0.5), None, None], "var": [4.5, None, None],
+        "median": [2.5, None, 5], "first": [4, None, 5], "last": [1, None, 5],
+    }
+    with pytest.raises(ValueError, match="kurtosis"):
+        io.multi_freq(frame, ["D"], {"a": "kurtosis"})
