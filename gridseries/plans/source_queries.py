@@ -9,7 +9,7 @@ from gridseries.plans.base import HOURLY_SQL, hourly, query, scratch, table
 from gridseries.plans.cell_queries import TYPES
 from gridseries.plans.market_queries import LADDER_SQL, trades
 from gridseries.sources import files as io
-from gridseries.streaming import incremental
+from gridseries.streaming import incremental, quarantine
 
 WIDE_SQL = "SELECT ts, " + ", ".join(f"max(value) FILTER (property = '{t}') AS {t}" for t in TYPES) + f" FROM ({HOURLY_SQL}) GROUP BY 1"
 
@@ -158,3 +158,31 @@ def stream_upsert(spark, sf):
     load()
     return commits.Table(spark, f"{at}/out").read().select("ts", "property", "value")
 
+
+@query(f"""
+WITH f AS (SELECT day(ts) AS day, count(*) AS n, count(*) FILTER (value < 2) AS low FROM ({HOURLY_SQL}) GROUP BY 1)
+SELECT day, CASE WHEN day % 7 = 0 THEN 1 WHEN day % 5 = 0 THEN n + 1 ELSE n END AS n_rows, CASE WHEN day % 7 = 0 THEN 0 ELSE n - low END AS stored,
+       concat_ws(',', CASE WHEN day % 7 <> 0 AND low > 0 THEN 'low' END, CASE WHEN day % 7 = 0 OR day % 5 = 0 THEN 'malformed' END) AS reasons, true AS whole
+FROM f WHERE day % 11 <> 0 UNION ALL SELECT day, 0, 0, 'no rows', NULL FROM f WHERE day % 11 = 0
+""")
+def stream_quarantine(spark, sf):
+    """Daily files in two loads: every fifth ends in the middle of a row, every seventh is no text, every eleventh is
+    empty, and values below 2 are refused."""
+    at, day = scratch(spark, "quarantine"), F.dayofmonth("ts")
+    line = F.concat_ws(",", F.date_format("ts", io.STAMP), "property", F.col("value").cast("string"))
+    files = hourly(spark, sf).groupBy(day.alias("day")).agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("lines"))
+    cut = F.when(F.col("day") % 5 == 0, "\n2024-01-0").otherwise("")
+    text = F.when(F.col("day") % 7 == 0, F.unhex(F.lit("00FF80C12C02")).cast("string")).otherwise(F.concat("lines", cut))
+    written = files.select("day", F.when(F.col("day") % 11 == 0, "").otherwise(text).alias("value"))
+    sink, dead, counts = (commits.Table(spark, f"{at}/{n}", zones=()) for n in ("sink", "dead", "counts"))
+    for some in (F.col("day") <= 15, F.col("day") > 15, F.lit(False)):
+        written.where(some).repartition("day").write.mode("append").partitionBy("day").text(f"{at}/in")
+        quarantine.load(
+            spark, f"{at}/in", "ts timestamp_ntz, property string, value double, day int", sink, dead, counts, f"{at}/checkpoint", checks={"low": F.col("value") >= 2}, glob="*.txt",
+            options={"timestampNTZFormat": io.STAMP, "mode": "PERMISSIVE"},
+        )
+    number = F.regexp_extract("file", "day=([0-9]+)/", 1).cast("int").alias("day")
+    reasons = dead.read().groupBy(number).agg(F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reasons"))
+    whole = quarantine.reconcile(sink.read(), dead.read(), counts.read()).select(number, "n_rows", "stored", "whole")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return whole.join(reasons, "day", "full_outer").select("day", zero("n_rows"), zero("stored"), F.coalesce("reasons", F.lit("")).alias("reasons"), "whole")
