@@ -7,6 +7,9 @@ both are compared entire, by digest.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,16 +50,54 @@ KNOWN += full_texts()
 #: The known digests are broadcast; so many take a few MB.
 MOST_KNOWN = 20_000
 
-#: A line that states a copyright and no more: dropped from a text.
-_COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright|©)(?![ \t]+(?:notice|holder|owner|law))[^\n]*$"
+#: Statements of copyright, which are dropped. The first three are told by their own words wherever they stand, so
+#: it does not matter where the lines of running text break: a year and a company, a form to be filled in, and the
+#: same without brackets. The others are whole lines that name a holder: a sign or year follows, a year stands
+#: later in the line, or nothing but names do. "Copyright license", "copyright holder" and the like stay.
+_GAP = r"[ \t\r\n]"
+_SIGN = rf"copyright{_GAP}*(?:\(c\)|©)?{_GAP}*"
+_LINE = r"^[^\p{L}\p{N}\n©]*"
+STATEMENTS = [
+    rf"(?i){_SIGN}[0-9]{{4}}(?:[ \t\r\n,–-]+[0-9]{{4}})*{_GAP}+(?:[\p{{L}}&'’.,-]+{_GAP}+){{0,8}}?(?:inc|ltd|llc|corp|gmbh)\b\.?,?(?:{_GAP}*<[^<>]{{0,80}}>)?",
+    rf"(?i){_SIGN}(?:[<\[{{][^<>\[\]{{}}]{{1,80}}[>\]}}]{_GAP}*){{1,3}}",
+    rf"(?i)copyright{_GAP}*\(c\){_GAP}*year{_GAP}+name{_GAP}+of{_GAP}+author",
+    rf"(?im){_LINE}(?:(?:\(c\)[ \t]*)?copyright[ \t]*(?:\(c\)|©|:|[0-9])|©)[^\n]*$",
+    rf"(?m){_LINE}(?:Copyright|COPYRIGHT)[ \t]+(?:by[ \t]+)?\p{{Lu}}[^\n]*\b(?:19|20)[0-9]{{2}}\b[^\n]*$",
+    rf"(?m){_LINE}Copyright(?:[ \t]+(?:by[ \t]+)?\p{{Lu}}[\p{{L}}.,&'’-]*){{1,6}}[ \t\r]*$",
+]
+
+
+def _bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` a value that it may name several times, computed once."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def _needed(pattern: str) -> str:
+    """The longest run of letters and blanks that whatever a spelling's pattern matches must hold."""
+    plain = re.sub(r"\(\\d\+\)|\\b|.\?", "\n", pattern)
+    return max(plain.split("\n"), key=len)
 
 
 def canonical(text: Column) -> Column:
-    """Canonical form of a text: see the module; null stays null, a text without words is empty."""
-    out = F.regexp_replace(text, _COPYRIGHT, " ")
-    out = F.trim(F.regexp_replace(F.lower(out), r"[^\p{L}\p{N}]+", " "))
+    """Canonical form of a text: see the module; null stays null, a text without words is empty.
+
+    Rules are tried only on texts that hold what they need (a plain search, much cheaper than a pattern).
+    """
+
+    def without_statements(whole: Column) -> Column:
+        out = whole
+        for pattern in STATEMENTS:
+            # in Java's patterns only a line feed ends a line if (?d) is set
+            out = F.regexp_replace(out, pattern.replace("m)", "md)", 1) if "m)" in pattern[:5] else pattern, " ")
+        return F.when(F.contains(F.lower(whole), F.lit("copyright")) | F.contains(whole, F.lit("©")), out).otherwise(whole)
+
+    out = F.trim(F.regexp_replace(F.lower(_bound(text, without_statements)), r"[^\p{L}\p{N}]+", " "))
+
+    def spelt(pattern: str, spelling: str) -> Callable[[Column], Column]:
+        return lambda x: F.when(F.contains(x, F.lit(_needed(pattern))), F.regexp_replace(x, pattern, spelling.replace("\\1", "$1"))).otherwise(x)
+
     for pattern, spelling in SPELLINGS:
-        out = F.regexp_replace(out, pattern, spelling.replace("\\1", "$1"))
+        out = _bound(out, spelt(pattern, spelling))
     return out
 
 
@@ -120,10 +161,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql_canonical(text: str) -> str:
-    # RE2 has no lookahead: lines that go on with one of the four words are marked first
-    kept = "regexp_replace({0}, '(?im)^([^\\p{{L}}\\p{{N}}\\n]*)(copyright|©)([ \\t]+(?:notice|holder|owner|law))', '\\1' || chr(1) || '\\2\\3', 'g')"
-    out = kept.format(text)
-    out = f"regexp_replace({out}, '(?im)^[^\\p{{L}}\\p{{N}}\\n\\x01]*(?:copyright|©)[^\\n]*$', ' ', 'g')"
+    out = text
+    for pattern in STATEMENTS:
+        quoted = pattern.replace("'", "''")
+        out = f"regexp_replace({out}, '{quoted}', ' ', 'g')"
     out = f"trim(regexp_replace(lower({out}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     for pattern, spelling in SPELLINGS:
         out = f"regexp_replace({out}, '{pattern}', '{spelling}', 'g')"

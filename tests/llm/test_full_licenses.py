@@ -1,6 +1,10 @@
 """Full licence texts as they stand in projects, written apart from the known ones."""
 
+import re
+import textwrap
+
 import pytest
+from pyspark.sql import functions as F
 
 from gridseries.llm import license_scan
 
@@ -85,3 +89,40 @@ def test_full_texts_match_as_a_whole(spark):
 def test_full_text_is_known(spdx):
     longest = max((t for k, t in license_scan.KNOWN if k == spdx), key=len)
     assert len(longest) > 600
+
+
+def rewrapped(text, width):
+    paragraphs = [" ".join(p.split()) for p in re.split(r"\n[ \t]*\n", text) if p.strip()]
+    return "\n\n".join(textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in paragraphs)
+
+
+def test_every_known_text_however_its_lines_break(spark):
+    forms = [(k, t) for k, t in license_scan.KNOWN] + [(k, rewrapped(t, w)) for k, t in license_scan.KNOWN for w in (10**6, 40, 60, 72, 100)]
+    docs = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(forms)], "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.license for r in license_scan.scan(docs).collect()}
+    first = {}
+    for n, (k, _) in enumerate(license_scan.KNOWN):
+        first.setdefault(found[n], k)
+    known = len(license_scan.KNOWN)
+    assert None not in first
+    assert [forms[n] for n in range(known, len(forms)) if found[n] != found[(n - known) // 5]] == []
+
+
+@pytest.mark.parametrize("line", [
+    "Copyright (c) 2011, Someone", "Copyright © 2011-2013 Someone and others", "copyright 2011 someone", "(C) Copyright 2011 Someone", "© Someone", "# Copyright Someone Else 2011. All rights reserved", "Copyright Some One",
+    "COPYRIGHT (C) 2011", "Copyright: 2011, the people", "Copyright <year> <holder>", "Copyright (C) 2007, 2011 Some Company, Inc.", " * Copyright (c) 2011\r",
+])
+def test_lines_that_name_a_holder_go(spark, line):
+    docs = spark.createDataFrame([(1, f"{line}\n\n{MIT}"), (2, MIT.replace("\n\n", f"\n{line}\n\n", 1))], "doc_id long, text string")
+    assert {r.license for r in license_scan.scan(docs).collect() if r.doc_id == 1} == {"MIT"}
+
+
+def test_words_about_copyright_stay(spark):
+    said = "copyright license to reproduce\ncopyright holder\nCopyright and Related Rights\ncopyright law of 1976\ncopyright treaty adopted on 20 December 1996"
+    got = spark.createDataFrame([(said,)], "text string").select(license_scan.canonical(F.col("text")).alias("c")).first().c
+    assert got == "copyright license to reproduce copyright owner copyright and related rights copyright law of 1976 copyright treaty adopted on 20 december 1996"
+
+
+def test_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "copyright words without end " * 100_000), (2, "Copyright (C) 2001 " + "Name " * 50_000)], "doc_id long, text string")
+    assert {r.license for r in license_scan.scan(docs).collect()} == {None}
