@@ -178,15 +178,17 @@ def repeat_taken(docs: DataFrame) -> DataFrame:
 
     Rows that repeat an id and text come out as often as the mix takes all of them.
     """
-    columns = docs.columns
+    own = "__mix"  # no column of the table begins with it
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
     taken = (
-        mix(docs).groupBy("doc_id", "key").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0")
-        .withColumnsRenamed({"doc_id": "taken_id", "key": "taken_key", "copies": "taken_copies"})
+        mix(docs).groupBy(F.col("doc_id").alias(f"{own}id"), F.col("key").alias(f"{own}key")).agg(F.sum("copies").cast("int").alias(f"{own}copies"))
+        .where(F.col(f"{own}copies") > 0)
     )
-    keyed = docs.withColumn("__key", text_key(F.col("text")))
-    joined = keyed.join(taken, keyed["doc_id"].eqNullSafe(taken["taken_id"]) & (keyed["__key"] == taken["taken_key"]))
+    keyed = docs.withColumn(f"{own}text", text_key(F.col("text")))
+    joined = keyed.join(taken, F.col("doc_id").eqNullSafe(F.col(f"{own}id")) & (F.col(f"{own}text") == F.col(f"{own}key")))
     return (
-        joined.dropDuplicates(["doc_id", "__key"])
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("taken_copies"))))
-        .select(columns)
+        joined.dropDuplicates(["doc_id", f"{own}text"])
+        .withColumn(f"{own}copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}copies"))))
+        .select([f"`{c}`" for c in docs.columns])
     )

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm.common import text_key, word_count
+from gridseries.llm.common import cut, text_key, word_count
 
 #: Words of a bin, and pieces of a shard on average.
 CAPACITY = 2048
@@ -76,10 +76,10 @@ def pack(
     shard of their text. Other columns are ignored; an empty table gives none.
     """
     cluster = F.col(cluster_col).cast("long") if cluster_col else text_key(F.col(text_col))
-    units = docs.select(
+    units = cut(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), cluster.alias("cluster"),
         text_key(F.col(text_col)).alias("key"), word_count(F.col(text_col)).alias("n"),
-    )
+    ))
     pieces = units.select(
         "doc_id", "source", "cluster", "key",
         F.posexplode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.col("n") - 1), F.lit(capacity).cast("long"))).alias("piece", "first_word"),
@@ -88,8 +88,8 @@ def pack(
         "doc_id", "piece", "first_word", F.least(F.lit(capacity), F.col("n") - F.col("first_word")).cast("int").alias("n_words"),
         "source", "cluster", "key",
     )
-    # documents are counted by ids alone; long texts make a shard larger only by their pieces
-    shards = max(1, -(-docs.select(id_col).count() // shard_rows))
+    total = units.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("n") / capacity)))).first()[0] or 0
+    shards = max(1, -(-total // shard_rows))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "key", "piece"), F.lit(shards)).cast("long"))
 
     def place(rows: pa.Table) -> pa.Table:

@@ -23,6 +23,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridseries.llm.common import text_key
+
 #: Bound of the fitting sample, in labelled rows.
 MAX_FIT_ROWS = 8000
 SLOTS = 1 << 18
@@ -222,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows
     """Fit on at most ``max_rows`` labelled documents that are not held out.
 
     Labels of one id are averaged (a half counts as 1); null ids and labels are left out. Of
-    documents that repeat an id one is taken.
+    documents that repeat an id the one is taken whose text has the least hash.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col("doc_id")))
@@ -238,10 +240,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows
                  "slots": [pack_slots(make.of(t)) for t in batch.text]}
             )
 
-    # at most max_rows ids and labels are broadcast
+    # at most max_rows ids and labels are broadcast; of rows that repeat an id one stays, before anything is sent
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    got = sample.mapInPandas(slots, "doc_id long, label int, slots binary").toPandas()
-    got = got.drop_duplicates("doc_id").sort_values("doc_id")
+    sample = sample.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(text_key(F.col("text")), "text")).alias("text"))
+    got = sample.mapInPandas(slots, "doc_id long, label int, slots binary").toPandas().sort_values("doc_id")
     return fit_rows(PackedRows([bytes(b) for b in got.slots]), got.label.to_numpy(dtype=int))
 
 

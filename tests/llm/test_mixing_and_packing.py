@@ -103,3 +103,14 @@ def test_pack_of_nulls_repeats_and_clashing_columns(spark):
     got = packing.pack(docs).collect()
     assert len(got) == 8 and sum(r["n_words"] for r in got) == 5008
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_columns_named_like_those_of_the_mix(spark):
+    docs = spark.createDataFrame([(k, f"some words {k}", "s", k, "x", 3, "y") for k in range(20)], "doc_id long, text string, source string, taken_id long, taken_key string, taken_copies int, __mix string")
+    assert mixing.repeat_taken(docs).columns == docs.columns and mixing.repeat_taken(docs).count() > 0
+
+
+def test_long_texts_are_spread_over_shards(spark):
+    docs = spark.createDataFrame([(k, "w " * 40_000, None) for k in range(3)], "doc_id long, text string, source string")
+    packed = packing.pack(docs, capacity=100, shard_rows=100).groupBy("shard").count().collect()
+    assert len(packed) >= 8 and max(r["count"] for r in packed) < 250 and sum(r["count"] for r in packed) == 1200

@@ -53,3 +53,27 @@ def test_nulls_repeats_one_class_and_no_labels(spark):
     assert all(r["score"] > 0.5 for r in quality.classify(docs, ones).collect())
     assert quality.classify(docs.limit(0), ones).count() == 0
     assert quality.keep_good(docs, ones).columns == docs.columns
+
+
+def test_ids_that_repeat_with_other_texts_fit_alike_however_rows_lie(spark):
+    rows = [(i, f"{'good clean words here' if i % 2 else 'BUY $$$ now !!!'} {i} {k}") for i in range(40) for k in range(5)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    scores = []
+    for order, parts in ((rows, 1), (rows[::-1], 7)):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(parts)
+        scores.append(sorted((r.doc_id, r.score) for r in quality.classify(docs, labels).collect()))
+    assert scores[0] == scores[1] and len(scores[0]) == 200
+
+
+def test_scores_against_plain_code(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    texts, known = {r.doc_id: r.text for r in docs.collect()}, {r.doc_id: r.quality for r in labels.collect()}
+    fitted = sorted(i for i in known if i in texts and known[i] is not None and zlib.crc32(str(i).encode()) % 5)
+    slots = quality.Slots()
+    model = quality.fit_rows(quality.PackedRows([quality.pack_slots(slots.of(texts[i])) for i in fitted]), np.array([known[i] for i in fitted]))
+    for r in quality.op5_quality_classifier(spark, sf).collect():
+        on = slots.of(texts[r.doc_id])
+        margin = sum(float(model.weights[s]) for s in on.tolist()) / max(1, len(on)) ** 0.5 + model.bias
+        assert abs(r.score - 1 / (1 + np.exp(-(model.slope * margin + model.offset)))) < 1e-6
+        assert r.predicted == (r.score >= 0.3) and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
