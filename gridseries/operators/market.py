@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridseries.functions import timeparts as T
+from gridseries.operators import validity
 from gridseries.operators.cells import pivot_mean
 
 #: Assets whose net position is generation or load, and the load that is no demand.
@@ -169,12 +170,12 @@ def expand_interval_profile(windows: DataFrame, calendar: DataFrame, keys: list[
 
     ``calendar`` has ``ts`` and ``local_ts``; the hour of the wall clock picks the value, so days of 23
     or 25 hours need no patch. Of overlapping windows the last (``ord``) wins; hours outside all
-    windows hold ``default``. Windows are opened to days first, so the join is on equality.
+    windows hold ``default``. Windows are not opened to days (see :mod:`gridseries.operators.validity`).
     """
-    days = windows.select(*keys, "ord", "profile", F.explode(F.sequence("from_date", "to_date")).alias("day"))
-    best = days.groupBy(*keys, "day").agg(F.max_by("profile", "ord").alias("profile"))
     slots = calendar.withColumn("day", F.col("local_ts").cast("date")).withColumn("hour", F.hour("local_ts"))
     every = windows.select(*keys).distinct()
+    days = slots.select("day").distinct()
+    best = validity.holding(windows, days.crossJoin(every) if keys else days, keys, ["profile"]).drop("ord")
     grid = slots.crossJoin(every) if keys else slots  # hours times borders, both from configuration: the result's own size
     return grid.join(best, [*keys, "day"], "left").select(*keys, "ts", F.coalesce(F.try_element_at("profile", F.col("hour") + 1), F.lit(default)).alias("value"))
 
@@ -207,13 +208,13 @@ def maintenance_extract(rows: DataFrame, text: str = "text") -> DataFrame:
 def maintenance_to_daily(intervals: DataFrame, units: DataFrame, calendar: DataFrame) -> DataFrame:
     """``unit, day, available``: nominal capacity, less what is off in the last interval of the day.
 
-    Intervals of no days or without a finish are ignored; they are opened to days, so the join is on equality.
+    Intervals of no days or without a finish are ignored; they are not opened to days (see
+    :mod:`gridseries.operators.validity`).
     """
-    off = (
-        intervals.where("days > 0 and start <= finish").select("unit", "ord", "mw", F.explode(F.sequence("start", "finish")).alias("day"))
-        .groupBy("unit", "day").agg(F.max_by("mw", "ord").alias("off"))
-    )
-    return units.crossJoin(calendar).join(off, ["unit", "day"], "left").select("unit", "day", (F.col("nominal") - F.coalesce("off", F.lit(0.0))).alias("available"))
+    windows = intervals.where("days > 0").withColumnsRenamed({"start": "from_date", "finish": "to_date"})
+    grid = units.crossJoin(calendar).withColumn("day", F.col("day").cast("date"))  # units times days: the result's own size
+    off = validity.holding(windows, grid, ["unit"], ["mw"]).select("unit", "day", F.col("mw").alias("off"))
+    return grid.join(off, ["unit", "day"], "left").select("unit", "day", (F.col("nominal") - F.coalesce("off", F.lit(0.0))).alias("available"))
 
 
 def stack_frame(series: DataFrame, index: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridseries.functions import timeparts as T
-from gridseries.operators import market
+from gridseries.operators import market, validity
 from gridseries.plans.base import HOURLY_SQL, day, hourly, query, table
 from gridseries.plans.cell_queries import CALENDAR_SQL, DAYS_SQL, day_calendar, days, rounded
 
@@ -199,8 +199,25 @@ def allocate_units(spark, sf):
     return market.allocate_units(rows, 49, 3)
 
 
+# windows of some days, and of some years for every 50th order
+@query("""
+WITH w AS (SELECT o_custkey % 500 AS border, o_orderkey AS ord, o_orderdate::DATE AS f, o_orderdate::DATE + (CASE WHEN o_orderkey % 50 = 0 THEN 30 * (o_custkey % 40) ELSE o_custkey % 9 - 1 END)::INT AS t, o_totalprice AS price FROM orders),
+d AS (SELECT border, ord, price, unnest(generate_series(f::TIMESTAMP, t::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM w WHERE f <= t),
+b AS (SELECT border, day, max(ord) AS ord, arg_max(price, ord) AS price FROM d GROUP BY 1, 2),
+g AS (SELECT *, day - row_number() OVER (PARTITION BY border, ord ORDER BY day)::INT AS island FROM b)
+SELECT border, min(day)::TIMESTAMP AS from_date, max(day)::TIMESTAMP AS to_date, ord, any_value(price) AS price FROM g GROUP BY border, ord, island
+""")
+def validity_segments(spark, sf):
+    length = F.when(F.col("o_orderkey") % 50 == 0, 30 * (F.col("o_custkey") % 40)).otherwise(F.col("o_custkey") % 9 - 1)
+    windows = table(spark, sf, "orders").select(
+        (F.col("o_custkey") % 500).alias("border"), F.col("o_orderkey").alias("ord"), F.col("o_orderdate").cast("date").alias("from_date"),
+        F.date_add(F.col("o_orderdate").cast("date"), length.cast("int")).alias("to_date"), F.col("o_totalprice").alias("price"),
+    )
+    return validity.disjoint_segments(windows, ["border"], ["price"]).select("border", day("from_date"), day("to_date"), "ord", "price")
+
+
 @query(f"""
-WITH w AS (SELECT o_custkey % 20 AS border, o_orderkey AS ord, o_orderdate::DATE AS f, o_orderdate::DATE + (o_custkey % 9)::INT AS t, o_totalprice AS base FROM orders WHERE o_orderstatus = 'P'),
+WITH w AS (SELECT o_custkey % 20 AS border, o_orderkey AS ord, o_orderdate::DATE AS f, o_orderdate::DATE + (o_custkey % 9)::INT AS t, o_totalprice AS base FROM orders),
 d AS (SELECT border, ord, base, unnest(generate_series(f::TIMESTAMP, t::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM w),
 b AS (SELECT border, day, arg_max(base, ord) AS base FROM d GROUP BY 1, 2)
 SELECT border, c.ts, coalesce(base + hour(local_ts), 0) AS value FROM ({CALENDAR_SQL}) c CROSS JOIN (SELECT DISTINCT border FROM w) LEFT JOIN b USING (border) WHERE (b.day = local_ts::DATE)
@@ -208,7 +225,7 @@ UNION ALL
 SELECT border, c.ts, 0 FROM ({CALENDAR_SQL}) c CROSS JOIN (SELECT DISTINCT border FROM w) x WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.border = x.border AND b.day = c.local_ts::DATE)
 """)
 def expand_interval_profile(spark, sf):
-    windows = table(spark, sf, "orders").where("o_orderstatus = 'P'").select(
+    windows = table(spark, sf, "orders").select(
         (F.col("o_custkey") % 20).alias("border"), F.col("o_orderkey").alias("ord"), F.col("o_orderdate").cast("date").alias("from_date"),
         F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_custkey") % 9).cast("int")).alias("to_date"),
         F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.col("o_totalprice") + h).alias("profile"),
@@ -234,13 +251,13 @@ def maintenance(spark, sf):
         F.lit("off_"), (F.col("o_custkey") % 30).cast("string"), F.lit(" days_"), F.date_format("o_orderdate", "d/M/yyyy"), F.lit("_to_"),
         F.when(F.col("o_orderkey") % 10 > 0, F.date_format(F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_custkey") % 30).cast("int")), "d/M/yyyy")).otherwise("open"),
     )
-    rows = table(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_orderkey", (F.col("o_custkey") % 40).alias("unit"), F.col("o_orderkey").alias("ord"), (F.col("o_custkey") % 90).cast("double").alias("mw"), text.alias("text"))
+    rows = table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 40).alias("unit"), F.col("o_orderkey").alias("ord"), (F.col("o_custkey") % 90).cast("double").alias("mw"), text.alias("text"))
     return market.maintenance_extract(rows)
 
 
 MAINTENANCE_SQL = """
 SELECT o_orderkey, o_custkey % 40 AS unit, o_orderkey AS ord, (o_custkey % 90)::DOUBLE AS mw, (o_custkey % 30)::INT AS days, o_orderdate::DATE AS start,
-       CASE WHEN o_orderkey % 10 > 0 THEN o_orderdate::DATE + (o_custkey % 30)::INT END AS finish FROM orders WHERE o_orderstatus = 'F'
+       CASE WHEN o_orderkey % 10 > 0 THEN o_orderdate::DATE + (o_custkey % 30)::INT END AS finish FROM orders
 """
 
 
