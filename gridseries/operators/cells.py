@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridseries.functions import textparts as X
+from gridseries.operators import lineage
 
 SHEET = ("file",)
 
@@ -149,7 +150,9 @@ def transpose_sheet(cells: DataFrame, skip: int = 1, sheet: tuple[str, ...] = SH
     """Rows become properties, named by their indicator (the cell of the last skipped column), and the
     columns after it positions ``pos`` 0, 1, ..."""
     name = cells.where(F.col("col") == max(skip - 1, 0)).select(*sheet, "row", F.col("cell").alias("property"))
-    return cells.where(F.col("col") >= skip).join(name, [*sheet, "row"]).select(*sheet, "row", "property", (F.col("col") - skip).alias("pos"), "cell")
+    return cells.where(F.col("col") >= skip).join(name, [*sheet, "row"]).select(
+        *sheet, "row", "property", (F.col("col") - skip).alias("pos"), "cell", *lineage.kept(cells)
+    )
 
 
 def assign_calendar(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridseries.functions import timeparts as T
-from gridseries.operators import validity
+from gridseries.operators import lineage, validity
 from gridseries.operators.cells import pivot_mean
 
 #: Assets whose net position is generation or load, and the load that is no demand.
@@ -117,7 +117,7 @@ def plant_totals(series: DataFrame, index: list[str], families: tuple[str, ...]
     if families:
         total = total.withColumn("section", F.when(F.col("section").isin(*families), F.lit(into)).otherwise(F.col("section")))
     keys = [*index, *(["section"] if families else []), "property"]
-    return total.groupBy(*keys).agg(F.sum("value").alias("value")), units
+    return total.groupBy(*keys).agg(F.sum("value").alias("value"), *lineage.gathered(total)), units
 
 
 def plant_modes(series: DataFrame, index: list[str]) -> DataFrame:

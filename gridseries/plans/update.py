@@ -6,8 +6,8 @@ file becomes a row of the log: a file that cannot be read, is empty or gives no
 numbers are counted, and the other files go on. Only if a family's job fails as a whole are its reports run one by
 one; those that fail alone are logged with the reason, and their rows in the store stay as they were.
 
-Parsed rows are written before they are merged (``staging``), with the file, row and position of their cell: the
-log counts them without parsing again, and a stored value can be followed back to its cell.
+Parsed rows are written before they are merged (``staging``), with their file and the ids of their cells: the log
+counts them without parsing again, and :func:`trace` follows a stored value back to its cells.
 """
 
 from __future__ import annotations
@@ -19,13 +19,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.operators import lake
+from gridseries.operators import lake, lineage
+from gridseries.operators.store import _filesystem
 from gridseries.operators.commits import Table
 from gridseries.plans import recipes
 
 KEYS = ["report", "property", "ts"]
 LOG = "run int, report string, family string, date date, file string, status string, n_rows long, n_bad long, seconds double, note string"
-PARSED = {"file": "string", "row": "int", "pos": "int", "property": "string", "ts": "timestamp_ntz", "value": "double"}
+PARSED = {"file": "string", "row": "int", "pos": "int", "property": "string", "ts": "timestamp_ntz", "value": "double", "origin": "array<long>"}
 
 
 @dataclass(frozen=True)
@@ -73,7 +74,7 @@ def readable(cells: DataFrame) -> DataFrame:
 def parse(spark: SparkSession, family: Family, planned: DataFrame, staging: str) -> DataFrame:
     """Parses planned files into ``staging`` and gives ``report, date, file, status, n_rows, n_bad`` of each."""
     paths = [r["path"] for r in planned.select("path").collect()]  # of new files only, as any reader lists them
-    cells = family.read(spark, paths)
+    cells = lineage.stamped(family.read(spark, paths))
     state = readable(cells)
     fit = cells.join(state.where("n_cells > 0 and not garbled").select("file"), "file", "left_semi")
     periods = planned.select("report", "file", "date", F.col("date").alias("period"))
@@ -135,6 +136,36 @@ def run_update(spark: SparkSession, catalogue: DataFrame, reports: DataFrame, fa
     return run
 
 
+def staged(spark: SparkSession, staging: str) -> DataFrame:
+    """The parsed rows of all runs (``report, date, file, property, ts, value, origin``); of a file that was parsed
+    several times those of the last time. What a failed job left half written is not read."""
+    fs, _, Path = _filesystem(spark, staging)
+    done = [s for deep in ("*/*/all", "*/*/*/alone") for s in fs.globStatus(Path(f"{staging}/{deep}/_SUCCESS")) or []]
+    folders = [s.getPath().getParent().toString() for s in done]
+    if not folders:
+        columns = ", ".join(f"{c} {t}" for c, t in PARSED.items())
+        return spark.createDataFrame([], f"file string, {columns.removeprefix('file string, ')}, report string, date date")
+    part = lambda k: F.regexp_extract("_metadata.file_path", r"/(\d+)/[^/]+/(all|\d+/alone)/[^/]+$", k)
+    folder = F.struct(part(1).cast("int").alias("run"), (part(2) != "all").alias("alone"))
+    rows = spark.read.parquet(*folders).withColumn("__folder", folder)
+    last = rows.groupBy("file").agg(F.max("__folder").alias("__folder"))
+    return rows.join(last, ["file", "__folder"]).drop("__folder")
+
+
+def trace(spark: SparkSession, families: list[Family], catalogue: DataFrame, log: Table, table: Table, staging: str) -> DataFrame:
+    """:func:`gridseries.operators.lineage.compare` of all files that the log knows, read again from the lake."""
+    known = log.read().where("file is not null").select("family", "file").distinct().join(catalogue.select("file", "path").distinct(), "file")
+    raw = None
+    for family in families:
+        paths = [r["path"] for r in known.where(F.col("family") == family.name).select("path").distinct().collect()]  # as any reader lists them
+        if paths:
+            cells = family.read(spark, paths).select("file", "row", "col", "cell")
+            raw = cells if raw is None else raw.unionByName(cells)
+    if raw is None:
+        raw = spark.createDataFrame([], "file string, row int, col int, cell string")
+    return lineage.compare(raw, staged(spark, staging), table.read(), KEYS)
+
+
 def reason(error: Exception) -> str:
     """The line of an error that names its cause."""
     text = str(getattr(error, "_desc", None) or error).strip()

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import partial
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.functions import textparts as X
-from gridseries.operators import calendars
+from gridseries.operators import calendars, lineage
 from gridseries.operators.commits import Table
 from gridseries.plans import recipes, update
 from gridseries.plans.base import query, scratch, table
@@ -60,8 +61,8 @@ def families() -> list[update.Family]:
     return [update.Family("grid", read, partial(steps, strict=True)), update.Family("plain", read, steps)]
 
 
-def two_runs(spark, sf) -> tuple[Table, Table, str]:
-    """The store, the log and the staging folder after a run up to 1997 and one over all sheets."""
+def two_runs(spark, sf) -> tuple[Table, Table, str, DataFrame]:
+    """The store, the log, the staging folder and the files after a run up to 1997 and one over all sheets."""
     at = scratch(spark, "update")
     stored, log = Table(spark, f"{at}/store", ["report"]), Table(spark, f"{at}/log", zones=())
     write_sheets(spark, sf, f"{at}/lake")
@@ -71,7 +72,7 @@ def two_runs(spark, sf) -> tuple[Table, Table, str]:
     for last in ("1997-12-31", "2001-10-31"):
         reports = spark.createDataFrame(known, "report string, family string").withColumns({"min_potential": F.lit("1995-01-01").cast("date"), "max_potential": F.lit(last).cast("date")})
         update.run_update(spark, catalogue, reports, families(), stored, log, f"{at}/staging")
-    return stored, log, f"{at}/staging"
+    return stored, log, f"{at}/staging", catalogue
 
 
 SHEETS_SQL = """
@@ -98,7 +99,7 @@ FROM planned LEFT JOIN n USING (report, date) GROUP BY ALL
 """)
 def update_run(spark, sf):
     """Reports of both runs: one that fails beside two that are stored, and files left out of three others."""
-    _, log, _ = two_runs(spark, sf)
+    _, log, _, _ = two_runs(spark, sf)
     return update.report_log(log.read()).select("run", "report", "family", "status", "n_files", "n_loaded", "n_rows", F.coalesce(F.contains("note", F.lit("text among numbers in RF")), F.lit(False)).alias("explained"))
 
 
@@ -106,3 +107,32 @@ def update_run(spark, sf):
 def update_store(spark, sf):
     """What both runs have stored."""
     return two_runs(spark, sf)[0].read().select("report", "property", "ts", "value")
+
+
+#: Cells of all sheets, and the id of the row of each line number; words stand in a row of their own.
+CELLS_SQL = f"""
+SELECT report || '_' || strftime(date, '%Y-%m-%d') AS file, report, date, 'L' || n AS property, (dense_rank() OVER (PARTITION BY report, date ORDER BY n) - 1)::INT AS row, day(day)::INT AS col, day, q
+FROM ({SHEETS_SQL})
+"""
+
+
+@query(f"""
+WITH c AS ({CELLS_SQL}), kept AS (SELECT * FROM c WHERE report <> '{BROKEN}' AND NOT (report IN {PLAIN} AND month(date) IN (2, 3))),
+corrected AS (SELECT report, property, ts, value + 0.5 AS value FROM ({STORED_SQL}) WHERE property = 'L3' AND day(ts) = 15),
+rows AS (SELECT DISTINCT file, report, date, property, row FROM kept),
+words AS (SELECT file, report, date, count(DISTINCT row)::INT AS row FROM c WHERE (report IN {PLAIN} AND month(date) = 4) OR (report = '{BROKEN}' AND month(date) = 5) GROUP BY ALL)
+SELECT r.file, r.row, 15 AS col, q::VARCHAR AS cell, report, property, ts, coalesce(q, 0) AS parsed, value AS stored, 'same' AS parsing, 'replaced' AS storing
+FROM corrected JOIN rows r USING (report, property) LEFT JOIN kept k ON k.file = r.file AND k.property = r.property AND k.day::TIMESTAMP = ts WHERE date_trunc('month', ts) = r.date
+UNION ALL SELECT NULL, NULL, NULL, NULL, report, 'total', date::TIMESTAMP, NULL, 1, NULL, 'orphan' FROM (SELECT DISTINCT report, date FROM rows)
+UNION ALL SELECT file, row, 1, 'n/a', report, 'L9', date::TIMESTAMP, NULL, NULL, 'text', NULL FROM words WHERE report <> '{BROKEN}'
+UNION ALL SELECT file, row, col, q::VARCHAR, NULL, NULL, NULL, NULL, NULL, 'unread', NULL FROM c WHERE report = '{BROKEN}'
+""")
+def cell_lineage(spark, sf):
+    """Every disagreement of sheets, parsed and stored values with its cell, after some stored values were corrected by
+    hand (``L3`` on the 15th) and totals were added that no sheet has."""
+    stored, log, staging, catalogue = two_runs(spark, sf)
+    have = stored.read().select(*update.KEYS, "value")
+    corrected = have.where((F.col("property") == "L3") & (F.dayofmonth("ts") == 15)).withColumn("value", F.col("value") + 0.5)
+    totals = have.select("report", F.lit("total").alias("property"), F.date_trunc("month", "ts").cast("timestamp_ntz").alias("ts"), F.lit(1.0).alias("value")).distinct()
+    stored.upsert(corrected.unionByName(totals), update.KEYS, keep="new")
+    return lineage.disagreements(update.trace(spark, families(), catalogue, log, stored, staging))
