@@ -191,31 +191,46 @@ def fuzzy_search(catalog: DataFrame, words: list[str], n_best: int = 10, kind: s
     return left.orderBy(F.desc("score"), "dna").limit(n_best).select("dna", "score")
 
 
-#: Candidates of a name match are broadcast; so many names take a few MB.
-MOST_CANDIDATES = 20_000
+#: Classes of names and of candidates that meet in one task's turn, and the most partitions that the turns are dealt to.
+MATCH_BLOCK, MOST_MATCH_TASKS = 1024, 10_000
 
 
 def jaccard_match(
-    names: DataFrame, candidates: DataFrame, n_best: int = 1, name: str = "name", candidate: str = "candidate", score=None, most: int = MOST_CANDIDATES
+    names: DataFrame, candidates: DataFrame, n_best: int = 1, name: str = "name", candidate: str = "candidate",
+    parts: Callable[[Column], Column] | None = None, block: int = MATCH_BLOCK,
 ) -> DataFrame:
     """``name, candidate, score, rank``: the ``n_best`` most similar candidates of each name.
 
-    Candidates are a configured list (report or column names) of at most ``most`` texts, which is
-    checked; each name meets each of them once, where the name lies.
+    Similar are texts that share characters (Jaccard of their refined character sets); with ``parts``, a function of a
+    candidate to an array of texts, the similarities of the name with all parts are added up. Of equal scores
+    the smaller candidate is first. Nulls and texts without characters score 0. Texts of equal character sets are
+    one class, which is scored once. The classes of the names are a query set that meets all classes of
+    candidates block by block, joined by block number, so neither side is broadcast or bounded.
     """
-    score = score or (lambda a, b: X.jaccard(X.character_set(X.refine(a)), X.character_set(X.refine(b))))
-    listed = candidates.select(candidate).distinct()
-    if (n := listed.limit(most + 1).count()) > most:
-        raise ValueError(f"{n} or more candidates are too many to broadcast; the bound is {most}")
-    pairs = names.select(name).distinct().crossJoin(F.broadcast(listed)).withColumn("score", score(F.col(name), F.col(candidate)))
-    ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy(name).orderBy(F.desc("score"), candidate)))
-    return ranked.where(F.col("rank") <= n_best)
-
-
-def camel_score(asked: Column, candidate: Column) -> Column:
-    """Sum of the similarities of a text with each camel-case part of a candidate."""
-    own = X.character_set(X.refine(asked))
-    return F.aggregate(X.camel_parts(candidate), F.lit(0.0), lambda s, part: s + X.jaccard(own, X.character_set(X.refine(part))))
+    sign = lambda text: F.coalesce(F.array_sort(X.character_set(X.refine(text))), F.array().cast("array<string>"))
+    asked = names.select(name).distinct().withColumn("__set", sign(F.col(name)))
+    text = F.array(candidate) if parts is None else F.coalesce(parts(F.col(candidate)), F.array().cast("array<string>"))
+    listed = candidates.select(candidate).distinct().withColumn("__parts", F.transform(text, sign))
+    # a class's first candidate tells its place among classes of one score: the best n_best lie in the best n_best classes
+    kinds, lists = asked.select("__set").distinct(), listed.groupBy("__parts").agg(F.min(candidate).alias("__first"))
+    n_slices, n_blocks = (-(-max(1, side.count()) // block) for side in (kinds, lists))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    place = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    turn, tasks = ["__slice", "__block"], min(n_slices * n_blocks, MOST_MATCH_TASKS)
+    left = kinds.withColumn("__slice", place("__set", n_slices)).withColumn("__block", every(n_blocks)).repartition(tasks, *turn)
+    right = lists.withColumn("__block", place("__parts", n_blocks)).withColumn("__slice", every(n_slices)).repartition(tasks, *turn)
+    if parts is None:
+        score = X.jaccard(F.col("__set"), F.col("__parts")[0])
+    else:  # rounded, as sums of equal terms may differ in the last place
+        score = F.round(F.aggregate("__parts", F.lit(0.0), lambda s, part: s + X.jaccard(F.col("__set"), part)), 12)
+    best = Window.partitionBy("__set").orderBy(F.desc("score"), "__first")
+    met = left.join(right, turn).select("__set", "__parts", "__first", score.alias("score"))
+    met = met.withColumn("__place", F.row_number().over(best)).where(F.col("__place") <= n_best).select("__set", "__parts", "score")
+    few = Window.partitionBy("__parts").orderBy(candidate)
+    firsts = listed.withColumn("__place", F.row_number().over(few)).where(F.col("__place") <= n_best).drop("__place")
+    order = Window.partitionBy("__set").orderBy(F.desc("score"), candidate)
+    ranked = met.join(firsts, "__parts").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n_best)
+    return asked.join(ranked, "__set").select(name, candidate, "score", "rank")
 
 
 def report_pool(metadata: DataFrame, *settings: DataFrame, defaults: dict | None = None, key: str = "report_name") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridseries.functions import textparts as X
 from gridseries.functions import timeparts as T
 from gridseries.operators import catalog
 from gridseries.operators.calendars import slice_time
@@ -152,7 +153,7 @@ def camel_jaccard(spark, sf):
     part = table(spark, sf, "part")
     low, up = F.lower("p_type"), F.upper("p_type")
     candidate = F.concat(F.lit("Report"), F.substring(low, 1, 1), F.substring(up, 2, 1), low.substr(F.lit(3), F.length(low)))
-    found = catalog.jaccard_match(part.select(F.col("p_name").alias("name")), part.select(candidate.alias("candidate")), 1, score=lambda a, b: F.round(catalog.camel_score(a, b), 12))
+    found = catalog.jaccard_match(part.select(F.col("p_name").alias("name")), part.select(candidate.alias("candidate")), 1, parts=X.camel_parts)
     return found.select("name", "candidate", F.round("score", 9).alias("score"))
 
 

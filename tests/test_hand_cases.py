@@ -1,6 +1,8 @@
 """Tiny frames with answers worked out by hand, for what SQL on the given tables does not reach."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -296,12 +298,28 @@ def test_first_file_below_a_node(spark):
     assert catalog.resolve_node(tree, "p/r.>>").first()["dna"] == "root.p.r.f.a"
 
 
-def test_too_many_candidates_are_refused(spark):
-    names = spark.createDataFrame([("Load forecast",)], "name string")
-    listed = spark.createDataFrame([("LoadForecast",), ("Prices",), ("Prices",)], "candidate string")
-    assert catalog.jaccard_match(names, listed, most=2).first()["candidate"] == "LoadForecast"
-    with pytest.raises(ValueError, match="too many"):
-        catalog.jaccard_match(names, listed, most=1)
+@pytest.mark.parametrize("block", [1, 7, 1024])
+def test_best_names_in_blocks_against_all_pairs(spark, block):
+    draw = random.Random(block)
+    text = lambda: "".join(draw.choice("abCDe -(f") for _ in range(draw.randrange(9)))
+    asked, listed = [text() for _ in range(40)] + [None], [text() for _ in range(30)] + ["LoadForecast", "loadForecast"]
+    frame = lambda values, name: spark.createDataFrame([(v,) for v in values], f"{name} string")
+    refined = lambda t: set(re.sub("[()-]", "", re.sub(" +", " ", (t or "").strip(" "))).lower())
+    alike = lambda a, b: len(a & b) / len(a | b) if a | b else 0.0
+    split = lambda t: re.split(r"(?<=[a-z])(?=[A-Z])|(?<!^)(?=[A-Z][a-z])", t)
+    for parts, of in ((None, lambda t: [t]), (X.camel_parts, split)):
+        found = catalog.jaccard_match(frame(asked, "name"), frame(listed, "candidate"), 3, parts=parts, block=block).collect()
+        got = {}
+        for r in sorted(found, key=lambda r: r["rank"]):
+            got.setdefault(r["name"], []).append((-round(r["score"], 9), r["candidate"]))
+        scores = {a: [(-round(sum(alike(refined(a), refined(p)) for p in of(c)), 9), c) for c in set(listed)] for a in asked}
+        assert got == {a: sorted(s)[:3] for a, s in scores.items()}
+
+
+def test_best_names_of_none(spark):
+    none, one = spark.createDataFrame([], "name string"), spark.createDataFrame([("a",)], "candidate string")
+    assert catalog.jaccard_match(none, one).count() == 0
+    assert catalog.jaccard_match(one.toDF("name"), one.limit(0)).count() == 0
 
 
 def sheet(spark, *lines):
