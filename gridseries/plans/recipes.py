@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridseries.functions import textparts as X
+from gridseries.functions import timeparts as T
 from gridseries.operators import cells, lake, market
 
 Step = Callable[[DataFrame], DataFrame]
@@ -74,8 +75,53 @@ def forecast(calendar: DataFrame, periods: DataFrame) -> list[Step]:
     return [partial(cells.drop_sparse, axis="columns"), transposed(), numbers(), dated(calendar, periods)]
 
 
-def reservoirs(calendar: DataFrame, periods: DataFrame) -> list[Step]:
-    return [partial(cells.drop_sparse, axis="columns", least=5), transposed(), numbers(), dated(calendar, periods)]
+def adhoc_schedule(cues: list[cells.Cue], calendar: DataFrame, periods: DataFrame, stamp: str = "d/M/yyyy H:mm:ss") -> list[Step]:
+    """Scheduling results of runs within a day: the stamp in the second cell of a sheet's first row says where in the
+    day's calendar its columns begin. A sheet without a stamp gives no rows."""
+
+    def step(grid: DataFrame) -> DataFrame:
+        heads = grid.where("row = 0 and col = 1").select("file", F.try_to_timestamp("cell", F.lit(stamp)).cast(T.NTZ).alias("header_ts"))
+        own = calendar.drop("pos").join(periods.select("file", "period"), "period")
+        rest = cells.partial_day_align(own, heads, ("file",))
+        long = run(grid, schedule(cues, calendar, periods)[:-1])
+        return cells.assign_calendar(long, rest, ("file",))
+
+    return [step]
+
+
+def reservoirs(calendar: DataFrame, periods: DataFrame, properties: list[str] | None = None) -> list[Step]:
+    """Filling rates. With ``properties`` a sheet without any value gives these, null, over its whole period."""
+
+    def filled(long: DataFrame) -> DataFrame:
+        own = calendar.join(periods.select("file", "period"), "period")
+        full = cells.fill_empty_frame(long, own, properties, float("nan"), ("file", "period"))
+        return full.withColumn("value", F.nullif(F.col("value"), F.lit(float("nan"))))
+
+    steps = [partial(cells.drop_sparse, axis="columns", least=5), transposed(), numbers(), dated(calendar, periods)]
+    return [*steps, filled] if properties else steps
+
+
+def requirements(cues: list[cells.Cue], calendar: DataFrame, periods: DataFrame, trigger: str = "23:30") -> list[Step]:
+    """System requirements: columns up to the last half hour; names stand in the second column, beside the indicator."""
+    return [partial(cells.truncate_at_trigger, trigger=trigger), sections(cues), transposed(2), numbers(("file", "section")), dated(calendar, periods)]
+
+
+def nominations(calendar: DataFrame, periods: DataFrame, total: str = "Sum") -> list[Step]:
+    """Nominated long-term rights, without the row of their sum."""
+    return [partial(cells.drop_sparse, axis="columns"), transposed(), partial(cells.drop_columns_if, names=[total]), numbers(), dated(calendar, periods)]
+
+
+def real_time(calendar: DataFrame, periods: DataFrame, names: list[str], least: int = 5) -> list[Step]:
+    """Real-time load and renewables: always 25 columns, of which those beyond the day's hours go. Where a sheet has
+    several rows of values besides the dates, they are named by their place."""
+
+    def named(long: DataFrame) -> DataFrame:
+        place = F.dense_rank().over(Window.partitionBy("file").orderBy("row"))
+        several = F.min("row").over(Window.partitionBy("file")) < F.max("row").over(Window.partitionBy("file"))
+        given = F.try_element_at(F.array(*map(F.lit, names)), place)
+        return long.withColumn("property", F.when(several, F.coalesce(given, "property")).otherwise(F.col("property")))
+
+    return [partial(cells.drop_sparse, axis="rows", least=least), transposed(), partial(cells.drop_columns_if, names=["Date"]), named, numbers(), dated(calendar, periods)]
 
 
 def realization(
@@ -157,9 +203,20 @@ def results_summary(cues: list[cells.Cue], calendar: DataFrame, periods: DataFra
     return [partial(cells.drop_sparse, axis="columns"), sections(cues), transposed(), partial(cells.drop_columns_if, text_valued=True), numbers(("file", "section")), dated(calendar, periods)]
 
 
-def market_results(where: str = "classification", among: tuple[str, ...] = ("Imports", "Exports")) -> list[Step]:
+def both_sides(by: list[str], side: str = "side", sides: tuple[str, str] = ("Buy", "Sell")) -> Step:
+    """Trades of the groups (files) in which both sides trade; a group with one side only is no result and goes."""
+
+    def step(trades: DataFrame) -> DataFrame:
+        seen = trades.groupBy(*by).agg(*[F.max(F.col(side) == s).alias(s) for s in sides])
+        return trades.join(seen.where(" and ".join(f"`{s}`" for s in sides)).select(*by), by, "left_semi")
+
+    return step
+
+
+def market_results(where: str = "classification", among: tuple[str, ...] = ("Imports", "Exports"), by: list[str] | None = None) -> list[Step]:
     """Trades (``ts, side, asset, classification, value``) to net positions: cross-border trades are named by
-    their asset, the others by class; one mean per side and name."""
+    their asset, the others by class; one mean per side and name. ``by`` names the columns of the file, if files
+    of one side are to be left out."""
 
     def name(trades: DataFrame) -> DataFrame:
         return cells.swap_values(trades, where, list(among), "classification", "asset")
@@ -167,7 +224,7 @@ def market_results(where: str = "classification", among: tuple[str, ...] = ("Imp
     def means(trades: DataFrame) -> DataFrame:
         return trades.groupBy("ts", "side", F.col("classification").alias("asset")).agg(F.avg("value").alias("value"))
 
-    return [name, means, partial(market.net_positions, index=["ts"])]
+    return [*([both_sides(by)] if by else []), name, means, partial(market.net_positions, index=["ts"])]
 
 
 def metered(pattern: str = "kWh") -> list[Step]:
