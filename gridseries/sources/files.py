@@ -194,9 +194,12 @@ def unreadable(cells: DataFrame, files: DataFrame, least: int = 1) -> DataFrame:
 
 def write_series(series: DataFrame, path: str, mode: str = "append", levels: tuple[str, ...] = ("publisher", "report", "field", "file")) -> None:
     """Long series to a Parquet tree by its levels, sorted by property and time inside each file. With
-    mode ``overwrite`` only the levels that occur in the series are replaced."""
+    mode ``overwrite`` only the levels that occur in the series are replaced.
+
+    Rows are dealt by ranges of levels, property and time, so a level that holds most rows is written by several
+    tasks, as files whose bounds hardly overlap; small levels stay one file each."""
     order = [c for c in ("property", "ts") if c in series.columns]
-    sorted_rows = series.repartition(*levels).sortWithinPartitions(*levels, *order)
+    sorted_rows = series.repartitionByRange(*levels, *order).sortWithinPartitions(*levels, *order)
     writer = sorted_rows.write.mode(mode).partitionBy(*levels)
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -449,3 +449,20 @@ def test_functions_of_other_frequencies(spark):
     }
     with pytest.raises(ValueError, match="kurtosis"):
         io.multi_freq(frame, ["D"], {"a": "kurtosis"})
+
+
+def test_a_hot_level_is_written_by_several_tasks(spark, tmp_path):
+    stamp = (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts")
+    rows = spark.range(8000).select(
+        F.lit("p").alias("publisher"), F.lit("r").alias("report"), F.lit("f").alias("field"), F.when(F.col("id") % 100 > 0, "hot").otherwise("cold").alias("file"),
+        F.lit("x").alias("property"), stamp, F.col("id").cast("double").alias("value"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        io.write_series(rows, f"{tmp_path}/tree")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(f"{tmp_path}/tree")
+    spans = sorted((r["a"], r["b"]) for r in back.where("file = 'hot'").groupBy(F.col("_metadata.file_path")).agg(F.min("ts").alias("a"), F.max("ts").alias("b")).collect())
+    assert len(spans) >= 3 and all(b < a for (_, b), (a, _) in zip(spans, spans[1:], strict=False))
+    assert back.count() == 8000
