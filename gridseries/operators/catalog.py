@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gridseries.functions import textparts as X
 from gridseries.functions import timeparts as T
 from gridseries.operators import blocks
+from gridseries.operators.names import NameIndex
 from gridseries.operators.store import fill_grid
 
 KINDS = ("root", "publisher", "report", "field", "file", "property")
@@ -176,14 +177,34 @@ def combine(frames: list[DataFrame], suffixes: list[str] | None = None, rename:
     return out if rename is None else out.toDF("ts", *rename)
 
 
-def fuzzy_search(catalog: DataFrame, words: list[str], n_best: int = 10, kind: str | None = None, pool: int = 500) -> DataFrame:
+def fuzzy_search(
+    catalog: DataFrame, words: list[str], n_best: int = 10, kind: str | None = None, pool: int | None = 500, index: NameIndex | None = None
+) -> DataFrame:
     """The nodes most like several words: the word whose best hit lies deepest goes first, each word
-    narrows the candidates of the one before to its ``pool`` best. ``kind`` rolls hits up to a level."""
-    score = lambda w: F.greatest(X.edit_ratio(F.lower("dna"), F.lit(w.lower())), X.edit_ratio(F.lower("name"), F.lit(w.lower())))
-    best = catalog.agg(*[F.max_by("depth", F.struct(score(w), F.col("depth"))).alias(f"d{i}") for i, w in enumerate(words)]).first()
+    narrows the candidates of the one before to its ``pool`` best. ``kind`` rolls hits up to a level.
+
+    With ``pool`` None no word narrows, so every node is a candidate of the last one. With an ``index`` (see
+    :func:`gridseries.operators.names.node_index`) of the same catalogue the first look of each word and the first
+    narrowing compare only nodes that share enough with the word; without one they compare all. The rows are the same.
+    """
+    lowered = [w.lower() for w in words]
+    score = lambda w: F.greatest(X.edit_ratio(F.lower("dna"), F.lit(w)), X.edit_ratio(F.lower("name"), F.lit(w)))
+    if index is None:
+        best = catalog.agg(*[F.max_by("depth", F.struct(score(w), F.col("depth"))).alias(w) for w in set(lowered)]).first().asDict()
+    else:
+        hits = index.nearest(index.spark.createDataFrame([(w,) for w in lowered], "word string"), 1, ties=True)
+        deep = hits.join(catalog.select(F.col("dna").alias("key"), "depth"), "key").groupBy("word").agg(F.max("depth").alias("depth"))
+        best = dict.fromkeys(lowered) | {r["word"]: r["depth"] for r in deep.collect()}
+    order = sorted(range(len(words)), key=lambda i: (-(best[lowered[i]] or 0), i))
+    order = order[-1:] if pool is None and kind is None else order
     left = catalog
-    for i in sorted(range(len(words)), key=lambda i: (-best[f"d{i}"], i)):
-        left = left.withColumn("score", score(words[i])).orderBy(F.desc("score"), "dna").limit(pool)
+    for at, i in enumerate(order):
+        if index is not None and at == 0 and (most := n_best if pool is None and kind is None else pool) is not None:
+            hits = index.nearest(index.spark.createDataFrame([(lowered[i],)], "word string"), most)
+            left = left.join(hits.select(F.col("key").alias("dna"), "score"), "dna")
+        else:
+            left = left.withColumn("score", score(lowered[i]))
+            left = left if pool is None else left.orderBy(F.desc("score"), "dna").limit(pool)
     if kind is not None:
         level = KINDS.index(kind) + 1
         up = F.array_join(F.slice("parts", 1, level), ".")

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from gridseries.functions import textparts as X
 from gridseries.functions import timeparts as T
-from gridseries.operators import catalog
+from gridseries.operators import catalog, names
 from gridseries.operators.calendars import slice_time
-from gridseries.plans.base import HOURLY_SQL, events, hourly, query, table
+from gridseries.plans.base import HOURLY_SQL, events, hourly, query, scratch, table
 
 LEVELS = ["publisher", "report", "field"]
 
@@ -124,10 +124,30 @@ WITH n AS ({NODES_SQL}), a AS (SELECT * FROM n ORDER BY {_score_sql('customer#00
 SELECT dna, round({_score_sql('nation_12')}, 6) AS score FROM a ORDER BY {_score_sql('nation_12')} DESC, dna LIMIT 10
 """)
 def fuzzy_search(spark, sf):
-    found = catalog.fuzzy_search(nodes(spark, sf), ["Nation_12", "customer#000000123"])
+    tree = nodes(spark, sf)
+    index = names.node_index(tree, scratch(spark, "names"))
+    found = catalog.fuzzy_search(tree, ["Nation_12", "customer#000000123"], index=index)
     return found.withColumn("score", F.round("score", 6))
 
 
+# every supplier's name, misspelt, against the names of all customers and nations
+MISSPELT_SQL = "SELECT DISTINCT replace(replace(s_name, 'Supplier', CASE WHEN s_suppkey % 5 = 0 THEN 'Cutsomers' ELSE 'Customr' END), '#0', '#') AS word FROM supplier"
+
+
+@query(f"""
+WITH w AS ({MISSPELT_SQL}), k AS (SELECT c_name AS key FROM customer UNION SELECT n_name FROM nation),
+s AS (SELECT word, key, 100.0 * (greatest(length(word), length(key)) - levenshtein(word, key)) / greatest(length(word), length(key)) AS score FROM w, k)
+SELECT word, key, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY score DESC, key) AS rank FROM s) WHERE rank <= 3
+""")
+def nearest_names(spark, sf):
+    supplier = table(spark, sf, "supplier")
+    wrong = F.when(F.col("s_suppkey") % 5 == 0, "Cutsomers").otherwise("Customr")
+    words = supplier.select(F.replace(F.replace("s_name", F.lit("Supplier"), wrong), F.lit("#0"), F.lit("#")).alias("word"))
+    known = table(spark, sf, "customer").select(F.col("c_name").alias("key")).unionByName(table(spark, sf, "nation").select(F.col("n_name").alias("key")))
+    index = names.NameIndex.build(known.withColumn("text", F.col("key")), scratch(spark, "names"))
+    return index.nearest(words, 3).withColumn("score", F.round("score", 6))
+
+
 SET_SQL = "list_distinct(list_filter(string_split(lower(regexp_replace(regexp_replace(trim({0}), ' +', ' ', 'g'), '[()-]', '', 'g')), ''), lambda x: x <> ''))"
 JACCARD_SQL = "len(list_intersect({a}, {b}))::DOUBLE / (len({a}) + len({b}) - len(list_intersect({a}, {b})))"
 
