@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,24 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+@contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that materialises a frame like ``cut``, but as Parquet in a folder of the shared one. The
+    folder goes at the end, so what leaves the block must not read from it (``cut`` it)."""
+    at = f"{ensure_shared_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+    def stored(frame: DataFrame) -> DataFrame:
+        path = f"{at}/{uuid.uuid4().hex}"
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    try:
+        yield stored
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(at)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
     """Python workers get at most so many rows at once in what is materialised inside: long texts stay few."""
