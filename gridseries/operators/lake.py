@@ -20,8 +20,9 @@ def match_files(files: DataFrame, name_col: str = "file_name", **parts: str) ->
 
 
 def file_dates(files: DataFrame, name_col: str = "file_name") -> DataFrame:
-    """Adds ``date`` from the first run of eight digits; files without a date are left out."""
-    day = F.try_to_date(F.nullif(F.regexp_extract(name_col, r"\d{8}", 0), F.lit("")), "yyyyMMdd")
+    """Adds ``date`` from the first run of digits that is a day (8) or a stamp to the second (14); files without
+    a date are left out. The digits of a longer number, such as a key, are no date."""
+    day = F.try_to_date(F.nullif(F.regexp_extract(name_col, r"(?<!\d)\d{8}(?=(?:\d{6})?(?!\d))", 0), F.lit("")), "yyyyMMdd")
     return files.withColumn("date", day).where("date is not null")
 
 
