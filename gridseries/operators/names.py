@@ -5,6 +5,10 @@ A text of ``m`` characters, with a mark before and after it, has ``m + 1`` pairs
 ``m + 1 - 2 d`` pairs in common at nearly the same places, ``m`` being the longer one's length. A search asks
 for the rarest pairs of a word only, as many as tell that a text shares too few of all. What is left is
 compared character by character, so pairs decide how many texts are compared, never the result.
+
+Names that are numbered share most of their pairs. So the search for the nearest names goes down a tree of
+prefixes instead: of the prefixes of a level those stay that some beginning of the word is near enough to, with
+what the rests differ in length at least, and only their children are looked at. No text in reach is left out.
 """
 
 from __future__ import annotations
@@ -17,14 +21,18 @@ from pyspark.sql import functions as F
 
 from gridseries.functions import textparts as X
 
-#: Bounds of the ratio that a search tries in turn. Below 50 two texts may have no pair in common.
-BOUNDS = (90, 75, 60, 50)
+#: Bounds of the ratio that a search tries in turn. Narrow steps, since each edit more multiplies the texts in reach.
+BOUNDS = (95, 90, 85, 80, 75, 70, 60, 50)
 #: A text has to share so many of the pairs asked for, or all that it must share if these are fewer.
 MATCHES = 3
 #: So many different pairs are named in the filter of the postings' scan; more are found by the join alone.
 MOST_NAMED = 2_000
 #: Texts that meet a word in one task's turn where the pairs cannot help.
 SCAN_BLOCK = 50_000
+#: A level of prefixes is the longest one with at most so many times the prefixes of the level before.
+FANOUT = 10
+#: Lengths that a level may have; texts that are equal up to the last one are compared one by one.
+LENGTHS = (*range(1, 65), *range(80, 1025, 16))
 
 
 def pairs(text: Column) -> Column:
@@ -39,13 +47,48 @@ def _edits(longest: Column, percent: int) -> Column:
     return F.floor(longest * (100 - percent) / 100).cast("int")
 
 
+def _levels(texts: DataFrame) -> list[int]:
+    """Lengths of prefixes, each level with about ``FANOUT`` times the prefixes of the one before; the texts
+    themselves would be the next level. One row per length passes the driver."""
+    longest = texts.agg(F.max(F.length("text"))).first()[0] or 0
+    lengths = [n for n in LENGTHS if n <= longest]
+    if not lengths:
+        return []
+    opened = texts.select("text", F.explode(F.array(*map(F.lit, lengths))).alias("n"))
+    found = opened.groupBy("n").agg(F.approx_count_distinct(F.substring("text", F.lit(1), F.col("n"))).alias("prefixes"))
+    counts = {r["n"]: r["prefixes"] for r in found.collect()}
+    levels, at, last = [], 0, 1
+    while at < lengths[-1] and counts[lengths[-1]] > FANOUT * last:
+        longer = [n for n in lengths if n > at]
+        at = max((n for n in longer if counts[n] <= FANOUT * last), default=longer[0])
+        levels.append(at)
+        last = max(last, counts[at])
+    return levels
+
+
+def _in_reach(percent: int) -> Column:
+    """Whether a text that begins with ``prefix`` may reach the ratio to ``word``: some beginning of the word
+    against the prefix, and the least difference in length of the rests (``least, most``: lengths of the texts)."""
+    size, done = F.length("word"), F.length("prefix")
+    edits = _edits(F.greatest(size, F.least("most", F.floor(size * 100 / percent).cast("int"))), percent)
+
+    def fewest(j: Column) -> Column:
+        left, apart = size - j, F.levenshtein(F.substring("word", F.lit(1), j), F.col("prefix"))
+        return apart + F.greatest(F.lit(0), left - (F.col("most") - done), F.col("least") - done - left)
+
+    begins = F.sequence(F.greatest(F.lit(0), F.least(size, done - edits)), F.least(size, done + edits))
+    return F.exists(begins, lambda j: fewest(j) <= edits)
+
+
 class NameIndex:
     """Names and their pairs in a folder: ``names`` (key, text, id), ``postings`` (pair, length, id, pos; in
-    files by ranges of pairs and lengths), ``counts`` (pair, n)."""
+    files by ranges of pairs and lengths), ``counts`` (pair, n), ``prefixes`` (level, parent, prefix, least, most)."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self.names, self.postings, self.counts = (spark.read.parquet(f"{self.path}/{t}") for t in ("names", "postings", "counts"))
+        self.prefixes = spark.read.schema("parent string, prefix string, least int, most int, level int").parquet(f"{self.path}/prefixes")
+        self.levels = sorted(r["level"] for r in self.prefixes.select("level").distinct().collect())
 
     @classmethod
     def build(cls, entries: DataFrame, path: str, key: str = "key", text: str = "text") -> NameIndex:
@@ -62,6 +105,12 @@ class NameIndex:
         opened.repartitionByRange("pair", "length", "id").sortWithinPartitions("pair", "length").write.parquet(f"{path}/postings")
         postings = spark.read.parquet(f"{path}/postings")
         postings.groupBy("pair").count().withColumnRenamed("count", "n").write.parquet(f"{path}/counts")
+        levels, start = _levels(texts), lambda n: F.substring("text", F.lit(1), n)
+        steps = [F.struct(F.lit(n).alias("level"), F.lit(before).alias("before")) for n, before in zip(levels, [0, *levels], strict=False)]
+        steps = F.array(*steps) if steps else F.lit(None).cast("array<struct<level int, before int>>")
+        opened = texts.select("text", F.inline(steps)).select("level", start(F.col("before")).alias("parent"), start(F.col("level")).alias("prefix"), F.length("text").alias("n"))
+        tree = opened.groupBy("level", "parent", "prefix").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+        tree.select("parent", "prefix", "least", "most", "level").write.parquet(f"{path}/prefixes")
         return cls(spark, path)
 
     def candidates(self, words: DataFrame, percent: int) -> DataFrame:
@@ -101,6 +150,20 @@ class NameIndex:
         words = words.where("word is not null").select("word").distinct()
         return self._scored(self.candidates(words, percent).join(self.names, "id"), percent)
 
+    def walked(self, words: DataFrame, percent: int) -> DataFrame:
+        """What :meth:`within` gives, of distinct words without nulls, by the tree of prefixes."""
+        front = words.select("word").repartition("word").withColumn("prefix", F.lit(""))
+        for level in self.levels:
+            children = self.prefixes.where(F.col("level") == level).drop("level")
+            if level == self.levels[0]:  # about FANOUT prefixes, or the different first characters
+                met = front.drop("prefix").crossJoin(F.broadcast(children))
+            else:
+                met = front.withColumnRenamed("prefix", "parent").join(children, "parent")
+            front = met.where(_in_reach(percent)).select("word", "prefix")
+        last = self.levels[-1] if self.levels else 0
+        stems = self.names.withColumn("prefix", F.substring("text", F.lit(1), F.lit(last)))
+        return self._scored(stems.join(front, "prefix"), percent)
+
     def everything(self, words: DataFrame) -> DataFrame:
         """``word, key, score`` of all keys: the words meet all texts, block by block."""
         blocks = -(-max(1, self.names.count()) // SCAN_BLOCK)
@@ -119,7 +182,7 @@ class NameIndex:
         """
         at, left, parts = f"{self.path}/searches/{uuid.uuid4().hex}", words.select(F.col(word).alias("word")).where("word is not null").distinct(), []
         for bound in (*BOUNDS, 0):
-            found = self.within(left, bound) if bound else self.everything(left)
+            found = self.walked(left, bound) if bound else self.everything(left)
             found.write.parquet(f"{at}/{bound}")
             found = self.spark.read.parquet(f"{at}/{bound}")
             if not bound:

@@ -103,3 +103,25 @@ def test_fuzzy_search_is_the_same_with_an_index(spark):
     for words, pool, kind in cases:
         plain = catalog.fuzzy_search(tree, words, 7, kind, pool).collect()
         assert catalog.fuzzy_search(tree, words, 7, kind, pool, index).collect() == plain
+
+
+@pytest.mark.parametrize("percent", [50, 60, 75, 95, 100])
+def test_no_text_is_missed_by_prefixes(spark, index, entries, percent, monkeypatch):
+    monkeypatch.setattr(names, "FANOUT", 3)
+    tall = names.NameIndex.build(spark.createDataFrame(entries, "key string, text string"), folder())
+    assert len(tall.levels) > len(index.levels)
+    words = spark.createDataFrame([(w,) for w in dict.fromkeys(WORDS)], "word string")
+    want = {(w, k): s for w in WORDS for k, s in all_scores(entries, w).items() if s >= percent}
+    for one in (index, tall):
+        found = one.walked(words, percent).collect()
+        assert {(r["word"], r["key"]): pytest.approx(r["score"]) for r in found} == want and len(found) == len(want)
+
+
+def test_numbered_names_are_met_by_few(spark):
+    known = spark.range(20_000).select(F.concat(F.lit("station#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("key"))
+    index = names.NameIndex.build(known.withColumn("text", F.col("key")), folder())
+    met = []
+    index._scored, scored = lambda found, least: met.append((least, found.count())) or scored(found, least), index._scored
+    got = index.nearest(spark.createDataFrame([(f"staton#{i:08}",) for i in range(0, 20_000, 500)], "word string"), 1).collect()
+    assert len(got) == 40 and all(r["key"] == f"station#{r['word'][7:]:0>9}" for r in got)
+    assert sum(n for _, n in met) < 40 * 500  # by pairs a bound of 75 made nearly all 40 * 20,000 of them
