@@ -207,12 +207,13 @@ def _near_copies(
     shared = stored(index.withColumn("members", F.count("*").over(bucket)).where("members > 1"))
     me, ordered = F.struct("kind", "n", "pos"), bucket.orderBy("kind")
     few = shared.withColumns({"hub": F.first(me).over(ordered), "before": F.lag(me).over(ordered)})
-    few = few.select("kind", "n", "pos", F.explode(F.array("hub", "before")).alias("o")).select(
-        "kind", "n", "pos", F.col("o.kind").alias("kind2"), F.col("o.n").alias("n2"), F.col("o.pos").alias("pos2")
-    )
-    few = few.where((F.col("kind") != F.col("kind2")) & _possible(percent)).groupBy("kind").agg(
-        F.explode(F.array(F.min("kind2"), F.max("kind2"))).alias("kind2")
+    few = few.select("kind", "n", "pos", "members", F.explode(F.array("hub", "before")).alias("o")).select(
+        "kind", "n", "pos", "members", F.col("o.kind").alias("kind2"), F.col("o.n").alias("n2"), F.col("o.pos").alias("pos2")
     )
+    few = few.where((F.col("kind") != F.col("kind2")) & _possible(percent))
+    # larger buckets are looked at again; the pair of a bucket of two is compared here, whatever else its members meet
+    twos = few.where("members = 2").select("kind", "kind2").distinct()
+    few = few.where("members > 2").groupBy("kind").agg(F.explode(F.array(F.min("kind2"), F.max("kind2"))).alias("kind2")).unionByName(twos)
     edges = _verified(_by_fingerprint(kinds, percent).unionByName(few), keyed, kinds, shingle, percent)
     roots = components(edges)
 

@@ -94,3 +94,34 @@ def test_null_ids_repeats_and_an_empty_table(spark):
     kept = simhash.keep_first(docs, overlap.near_copies(docs))
     assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "None"]
     assert overlap.near_copies(docs.limit(0)).count() == 0
+
+
+def test_a_pair_of_a_bucket_of_two_is_compared_whatever_else_the_texts_meet(spark):
+    """Three texts meet the last one, each alone in buckets of two; the one in the middle is the near copy."""
+    import random
+
+    import xxhash
+
+    draw = random.Random(5)
+    kind = lambda t: np.uint64(xxhash.xxh64_intdigest(overlap.shingle_set(t).tobytes(), overlap.SEED)).astype(np.int64)
+    some = lambda n: [f"w{draw.randrange(10**9)}" for _ in range(n)]
+    cases = []
+    while len(cases) < 12:
+        words = some(60)
+        changed = list(words)
+        at = draw.randrange(10, 50)
+        changed[at] = some(1)[0]
+        whole, copy = overlap.shingle_set(" ".join(words)), overlap.shingle_set(" ".join(changed))
+        alone = [s for s in whole[:4] if s not in copy]
+        if len(alone) < 2:
+            continue
+        runs = {int(overlap.shingle_set(" ".join(words[i : i + 5]))[0]): words[i : i + 5] for i in range(56)}
+        others = [[" ".join(runs[int(s)] + some(51)) for _ in range(12)] for s in alone[:2]]
+        last, middle = kind(" ".join(words)), kind(" ".join(changed))
+        low = [t for t in others[0] if kind(t) < middle and runs and overlap.shingle_set(t)[:4].__contains__(alone[0])]
+        high = [t for t in others[1] if middle < kind(t) < last and overlap.shingle_set(t)[:4].__contains__(alone[1])]
+        if low and high:
+            cases.append((" ".join(words), " ".join(changed), low[0], high[0]))
+    rows = [(4 * i + j, t) for i, case in enumerate(cases) for j, t in enumerate(case)]
+    found = {r["doc_id"]: r["component_id"] for r in overlap.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {4 * i + j: 4 * i + (0 if j == 1 else j) for i in range(len(cases)) for j in range(4)}
