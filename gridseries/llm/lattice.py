@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from gridseries.llm.common import components, cut, usable_vector
 
 MIN_COSINE = 0.93
-#: Vectors of the largest label up to which a setting holds; tables, E8 blocks of a table, scale of the
-#: projections, neighbouring cells asked per table. Cells get finer as rows grow, so that a vector meets a
-#: bounded number of others; each setting finds 0.98 or more of the pairs at a cosine of 0.93.
-SETTINGS = [(50_000, (4, 1, 6.0, 6)), (200_000, (5, 1, 8.0, 16)), (5_000_000, (9, 2, 5.0, 16)), (None, (16, 2, 6.0, 16))]
+#: Tables, E8 blocks of a table, scale of the projections, neighbouring cells asked per table. One setting for
+#: tables of any size, so which links are found never depends on how many other vectors there are.
+SETTING = (9, 2, 5.0, 16)
+SETTINGS = [("any", SETTING)]
 SEED = 23
 #: Pairs whose cosines are taken at once.
 PAIRS_AT_ONCE = 100_000
@@ -187,7 +187,7 @@ def near_duplicates(
     ``min_cosine`` or more. Vectors that are null, zero or hold null or non-finite components link
     with nothing; so do rows with a null id (their component is null and they are not kept). Vectors
     meet only vectors of their own length. Tables, blocks, scale and probes that are not given come from
-    ``SETTINGS``, by the number of vectors of the largest label. Rows that repeat an id, label and vector are copies like
+    ``SETTING``. Rows that repeat an id, label and vector are copies like
     any others. Other columns are ignored; an empty table gives none.
     """
     rows = vectors.select(
@@ -197,9 +197,7 @@ def near_duplicates(
     classes = cut(rows.where(usable).groupBy("label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("n")))
     # a copy may repeat an id, so classes have numbers of their own
     classes = cut(classes.withColumn("cls", F.monotonically_increasing_id()))
-    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    held = next(setting for most, setting in SETTINGS if most is None or largest <= most)
-    tables, blocks, scale, probes = (h if given is None else given for given, h in zip((tables, blocks, scale, probes), held, strict=True))
+    tables, blocks, scale, probes = (h if given is None else given for given, h in zip((tables, blocks, scale, probes), SETTING, strict=True))
 
     def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

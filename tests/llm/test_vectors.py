@@ -151,3 +151,15 @@ def test_unusable_vectors_and_labels_link_with_nothing(spark):
 def test_registered_tables(spark, sf):
     got = lattice.op10_embedding_near_dedup(spark, sf)
     assert got.count() == spark.read.parquet(f"{sf}/embeddings.parquet").count() and got.where(F.col("n_links") < 0).count() == 0
+
+
+def test_links_of_a_small_table_are_those_of_a_large_one(spark):
+    """All pairs are near the bound; a label of few vectors is asked as one of five million is."""
+    draw = np.random.default_rng(21)
+    a, w = unit(draw, 1500).astype(float), unit(draw, 1500).astype(float)
+    w -= (w * a).sum(axis=1, keepdims=True) * a
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    b = 0.931 * a + np.sqrt(1 - 0.931**2) * w
+    rows = [(2 * i + j, v.tolist(), 0, 0.0, 0) for i, two in enumerate(zip(a, b, strict=True)) for j, v in enumerate(two)]
+    found = lambda **setting: {(r["vec_id"], r["n_links"]) for r in lattice.near_duplicates(table(spark, rows), **setting).collect()}
+    assert found() == found(tables=9, blocks=2, scale=5.0, probes=16)
