@@ -44,10 +44,13 @@ def rename_properties(series: DataFrame, names: dict[str, str], snake: bool = Fa
 
 
 def drop_sparse(cells: DataFrame, axis: str = "rows", least: int = 1, sheet: tuple[str, ...] = SHEET) -> DataFrame:
-    """Cells of the rows (or columns) of a sheet that hold at least ``least`` values."""
+    """Cells of the rows (or columns) of a sheet that hold at least ``least`` values.
+
+    Counted by a window, so cells are shuffled once at most, and not at all where they are dealt by sheet already.
+    """
     line = [*sheet, "row" if axis == "rows" else "col"]
-    full = cells.groupBy(*line).agg(F.count("cell").alias("__n")).where(F.col("__n") >= least)
-    return cells.join(full.drop("__n"), line, "left_semi")
+    named = cells.where(" and ".join(f"`{c}` is not null" for c in line))
+    return named.withColumn("__n", F.count("cell").over(Window.partitionBy(*line))).where(F.col("__n") >= least).drop("__n")
 
 
 def drop_columns_if(
@@ -79,11 +82,9 @@ def truncate_at_trigger(cells: DataFrame, trigger: str, guide_row: int = 0, drop
 
 def promote_header(cells: DataFrame, least: int = 2, sheet: tuple[str, ...] = SHEET) -> DataFrame:
     """Rows with fewer than ``least`` values go; the first left names the columns of the rest (``property``)."""
-    full = drop_sparse(cells, "rows", least, sheet)
-    first = full.groupBy(*sheet).agg(F.min("row").alias("__head"))
-    marked = full.join(first, list(sheet))
-    head = marked.where("row = __head").select(*sheet, "col", F.col("cell").alias("property"))
-    return marked.where("row > __head").drop("__head").join(head, [*sheet, "col"], "left")
+    marked = drop_sparse(cells, "rows", least, sheet).withColumn("__head", F.min("row").over(Window.partitionBy(*sheet)))
+    name = F.max(F.when(F.col("row") == F.col("__head"), F.col("cell"))).over(Window.partitionBy(*sheet, "col"))
+    return marked.withColumn("property", name).where("row > __head").drop("__head")
 
 
 @dataclass(frozen=True)
