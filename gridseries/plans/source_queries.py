@@ -48,8 +48,9 @@ SELECT ts, aa, side, quantity, price FROM m
 """)
 def read_ladder(spark, sf):
     path = scratch(spark, "ladder")
-    best = trades(spark, sf).groupBy("ts", F.col("l_partkey").alias("aa"), "side").agg(F.max("quantity").alias("quantity"), F.max("price").alias("price"))
-    wide = best.groupBy("ts", "aa").pivot("side", ["Buy", "Sell"]).agg(F.first("quantity").alias("q"), F.first("price").alias("p"))
+    # one aggregation: every further one, as of a pivot, is another hash map in the same task
+    best = [F.max(F.when(F.col("side") == s, F.col(c))).alias(f"{s}_{c[0]}") for s in ("Buy", "Sell") for c in ("quantity", "price")]
+    wide = trades(spark, sf).groupBy("ts", F.col("l_partkey").alias("aa")).agg(*best)
     # the two header rows stand at the head of every file
     line = F.concat_ws(",", F.date_format("ts", io.STAMP), F.col("aa").cast("string"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("Buy_q", "Buy_p", "Sell_q", "Sell_p")])
     head = F.array(F.lit(",,Buy,Unnamed: 3,Sell,Unnamed: 5"), F.lit("datetime,AA,QUANTITY,PRICE,QUANTITY,PRICE"))
