@@ -85,7 +85,7 @@ def usable_vector(embedding: Column) -> Column:
     return F.coalesce(embedding.isNotNull() & finite & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """Connected components of an undirected graph by alternating star contraction.
 
     ``edges`` has two long columns ``u`` and ``v``. The result has one row for each node but
@@ -93,14 +93,21 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     its own root). Self loops, repeated edges and nulls are ignored; no edges give an empty frame.
 
     Every round is two aggregations and joins on node keys (no neighbour list is ever gathered), is
-    cut by a checkpoint, and the driver sees only two numbers per round. Raises if the rounds, which
-    grow with the logarithm of the longest chain, do not suffice: links are never dropped.
+    materialised by ``keep``, and the driver sees only whether nodes are left that are no star's centre or leaf.
+    Raises if the rounds, which grow with the logarithm of the longest chain, do not suffice: links are never dropped.
     """
-    now = cut(
+    now = keep(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
-    before = None
-    for _ in range(most_rounds):
+    for done in range(most_rounds + 1):
+        # edges lead to smaller nodes, so they are settled once no node has two of them, or one and one that leads to it
+        ends = now.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+            now.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+        )
+        if ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out + into > 1 and out > 0").isEmpty():
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        if done == most_rounds:
+            break
         # large star: every node points its larger neighbours to its smallest neighbour
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -109,9 +116,5 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u")
         small = moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = state
+        now = keep(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

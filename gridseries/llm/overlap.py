@@ -141,14 +141,16 @@ def _similar_column(left: Column, right: Column, shingle: int, percent: int) ->
     return of(left, right)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, kinds: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, docs: DataFrame, kinds: DataFrame, shingle: int, percent: int, stored: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """The pairs (``u``, ``v``) of kinds whose whole sets reach the bound.
 
     Only texts of pairs that the bitmaps leave are fetched, one of each kind, and shuffled once for each pair.
     """
     u, v = (kinds.select(F.col("kind").alias(k), F.struct("n", "bits").alias(f"{k}_set")) for k in ("u", "v"))
     pairs = pairs.select(F.greatest("kind", "kind2").alias("u"), F.least("kind", "kind2").alias("v")).distinct()
-    pairs = cut(pairs.join(u, "u").join(v, "v").where(_likely_column(F.col("u_set"), F.col("v_set"), percent)).select("u", "v"))
+    pairs = stored(pairs.join(u, "u").join(v, "v").where(_likely_column(F.col("u_set"), F.col("v_set"), percent)).select("u", "v"))
     wanted = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("kind")).join(kinds.select("kind", "rep"), "kind")
     wanted = wanted.select("u", "v", "kind", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"))
     if pairs.count() <= MOST_BROADCAST:
@@ -156,15 +158,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, kinds: DataFrame, shingle: int,
     texts = docs.join(wanted, (F.col("text_key") == F.col("rep_key")) & F.col("id").eqNullSafe(F.col("rep_id")))
     both = texts.groupBy("u", "v").agg(F.min_by("text", "kind").alias("a"), F.max_by("text", "kind").alias("b"))
     with arrow_rows(docs.sparkSession, 500):
-        return cut(both.where(_similar_column(F.col("a"), F.col("b"), shingle, percent)).select("u", "v"))
+        return stored(both.where(_similar_column(F.col("a"), F.col("b"), shingle, percent)).select("u", "v"))
 
 
-def _by_fingerprint(kinds: DataFrame, percent: int) -> DataFrame:
+def _by_fingerprint(kinds: DataFrame, percent: int, stored: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Candidates (``kind``, ``kind2``) whose fingerprints are equal or within three bits, and whose sizes allow the bound."""
     named = kinds.groupBy("fp").agg(F.min(F.struct("kind", "n")).alias("hub"))
     equal = kinds.join(named, "fp").select("kind", "n", F.col("hub.kind").alias("kind2"), F.col("hub.n").alias("n2"))
     u, v = (named.select(F.col("fp").alias(c), F.col("hub").alias(f"{c}_hub")) for c in ("u", "v"))
-    linked = forest(named.select("fp")).join(u, "u").join(v, "v").select(
+    linked = forest(named.select("fp"), keep=stored).join(u, "u").join(v, "v").select(
         F.col("u_hub.kind").alias("kind"), F.col("u_hub.n").alias("n"), F.col("v_hub.kind").alias("kind2"), F.col("v_hub.n").alias("n2")
     )
     sizes = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
@@ -214,8 +216,12 @@ def _near_copies(
     # larger buckets are looked at again; the pair of a bucket of two is compared here, whatever else its members meet
     twos = few.where("members = 2").select("kind", "kind2").distinct()
     few = few.where("members > 2").groupBy("kind").agg(F.explode(F.array(F.min("kind2"), F.max("kind2"))).alias("kind2")).unionByName(twos)
-    edges = _verified(_by_fingerprint(kinds, percent).unionByName(few), keyed, kinds, shingle, percent)
-    roots = components(edges)
+    roots = components(_verified(_by_fingerprint(kinds, percent, stored).unionByName(few), keyed, kinds, shingle, percent, stored), keep=stored)
+
+    def joined(candidates: DataFrame) -> DataFrame:
+        """The components with those of the candidates that the whole sets confirm."""
+        more = _verified(candidates.select("kind", "kind2"), keyed, kinds, shingle, percent, stored)
+        return roots if more.isEmpty() else components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), keep=stored)
 
     def unsettled(members: DataFrame) -> DataFrame:
         """The members of buckets that hold more than one group, with their group's ``root`` and ``size``."""
@@ -238,13 +244,12 @@ def _near_copies(
     some = some.select(lone.alias("kind"), large.alias("kind2")).groupBy("kind").agg(
         F.slice(F.sort_array(F.collect_set(F.struct(F.xxhash64("kind", "kind2").alias("draw"), "kind2"))), 1, FIRST_TRIES).alias("tries")
     ).select("kind", F.explode("tries.kind2").alias("kind2"))
-    edges = cut(edges.unionByName(_verified(some.select("kind", "kind2"), keyed, kinds, shingle, percent)))
-    roots = components(edges)
+    roots = joined(some)
     # whatever is left: all pairs of a bucket that the first shared member, sizes and bitmaps allow
     here = stored(unsettled(here).join(kinds.select("kind", "sketch"), "kind").select("token", "kind", "n", "pos", "root", "sketch"))
     other = here.select("token", *[F.col(c).alias(f"{c}2") for c in ("kind", "n", "pos", "root", "sketch")])
     rest = here.join(other, "token").where((F.col("root") < F.col("root2")) & _possible(percent) & _sketches_near(percent))
-    roots = components(edges.unionByName(_verified(rest.select("kind", "kind2"), keyed, kinds, shingle, percent)))
+    roots = joined(rest)
     rooted = kinds.join(roots, kinds["kind"] == roots["node"], "left").select(
         "kind", "least_id", F.coalesce("root", "kind").alias("root")
     )

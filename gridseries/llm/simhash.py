@@ -8,7 +8,7 @@ them all. Matches are verified on the complete distance.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -113,7 +113,7 @@ def _check_distance(max_distance: int) -> None:
         raise ValueError("two segments with balls of radius one reach a distance of three bits at most")
 
 
-def _buckets(fingerprints: DataFrame, bucket_limit: int) -> Iterator[DataFrame]:
+def _buckets(fingerprints: DataFrame, bucket_limit: int, keep: Callable[[DataFrame], DataFrame] = cut) -> Iterator[DataFrame]:
     """Rows (``fp, key, home``) of the buckets in which fingerprints may meet, level by level.
 
     A bucket of more than ``bucket_limit`` rows is not given as it stands: its rows are indexed
@@ -126,7 +126,7 @@ def _buckets(fingerprints: DataFrame, bucket_limit: int) -> Iterator[DataFrame]:
     for width in (32, 16, 0):
         # buckets with nobody at home, or one row at all, link nothing
         busy = rows.groupBy("key").agg(F.count("*").alias("rows"), F.count_if("home").alias("homes"))
-        here = cut(rows.join(busy.where("homes > 0 and rows > 1"), "key").select("fp", "key", "home", "at", "rows"))
+        here = keep(rows.join(busy.where("homes > 0 and rows > 1"), "key").select("fp", "key", "home", "at", "rows"))
         hot = F.col("rows") > bucket_limit
         yield (here.where(~hot) if width else here).select("fp", "key", "home")
         if not width or here.where(hot).isEmpty():
@@ -172,7 +172,9 @@ def _spanning(fps: np.ndarray, home: np.ndarray, max_distance: int) -> list[tupl
     return kept
 
 
-def forest(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE, bucket_limit: int = 256) -> DataFrame:
+def forest(
+    fingerprints: DataFrame, max_distance: int = MAX_DISTANCE, bucket_limit: int = 256, keep: Callable[[DataFrame], DataFrame] = cut
+) -> DataFrame:
     """Pairs (``u``, ``v``) that differ in 1 to 3 bits and connect the same fingerprints as all such pairs.
 
     A bucket gives fewer pairs than it has rows, so the result grows with the rows, not with the
@@ -188,7 +190,7 @@ def forest(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE, bucket_lim
         )
 
     found = None
-    for rows in _buckets(fingerprints, bucket_limit):
+    for rows in _buckets(fingerprints, bucket_limit, keep):
         members = rows.groupBy("key").agg(F.collect_list("fp").alias("fps"), F.collect_list("home").alias("homes"))
         pairs = members.select(F.explode(spanning("fps", "homes")).alias("x")).select("x.u", "x.v")
         found = pairs if found is None else found.unionByName(pairs)
