@@ -1,5 +1,7 @@
 """Dates in names of files."""
 
+from pyspark.sql import functions as F
+
 from gridseries.operators import lake
 from gridseries.plans import base, lake_queries
 
@@ -16,3 +18,19 @@ def test_undated_files_of_large_keys_are_left_out(spark, tmp_path):
     stamps.selectExpr("*", "timestamp '1996-05-01' as o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
     assert base.files(spark, str(tmp_path)).count() == 2
     assert [r["file_name"] for r in lake_queries.file_dates(spark, str(tmp_path)).collect()] == [f"19960501_LOW_{keys[1]:012}.xlsx"]
+
+
+def write_orders(spark, folder, rows):
+    stamps = spark.createDataFrame([(k, "5-LOW", d) for k, d in rows], "o_orderkey long, o_orderpriority string, day string")
+    stamps.selectExpr("o_orderkey", "o_orderpriority", "cast(day as timestamp) as o_orderdate").write.parquet(f"{folder}/orders.parquet")
+
+
+# of multiples of 97, so undated: the padded keys begin like the first of January of year 0 and the 31st of December of year 1
+UNDATED = [97 * 10_413, 97 * 1_157_836]
+
+
+def test_coverage_is_not_widened_by_undated_files_of_large_keys(spark, tmp_path):
+    write_orders(spark, tmp_path, [(1, "1996-05-01"), (2, "2001-08-01"), *((k, "1999-01-01") for k in UNDATED)])
+    names = ["min_potential", "max_potential", "min_observed", "max_observed"]
+    got = lake_queries.lake_coverage(spark, str(tmp_path)).select(*[F.col(c).cast("date").cast("string") for c in names], "up_to_date").collect()
+    assert [tuple(r) for r in got] == [("1996-05-21", "2001-08-01", "1996-05-01", "2001-08-01", True)]
