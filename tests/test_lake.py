@@ -34,3 +34,11 @@ def test_coverage_is_not_widened_by_undated_files_of_large_keys(spark, tmp_path)
     names = ["min_potential", "max_potential", "min_observed", "max_observed"]
     got = lake_queries.lake_coverage(spark, str(tmp_path)).select(*[F.col(c).cast("date").cast("string") for c in names], "up_to_date").collect()
     assert [tuple(r) for r in got] == [("1996-05-21", "2001-08-01", "1996-05-01", "2001-08-01", True)]
+
+
+def test_no_version_is_picked_of_undated_files_of_large_keys(spark, tmp_path):
+    alike = 97 * 2_057_783_609  # 199605010073, so it would be the second version of a day that has one
+    dated = [(1, "1996-05-01"), (2, "1996-05-02"), (3, "1996-05-02"), (4, "1996-05-02")]
+    write_orders(spark, tmp_path, [*dated, *((k, "1999-01-01") for k in [*UNDATED, alike])])
+    got = lake_queries.pick_version(spark, str(tmp_path)).select(F.col("date").cast("date").cast("string"), "file_name", "true_version").collect()
+    assert sorted(tuple(r) for r in got) == [("1996-05-01", "19960501_LOW_000000000001.xlsx", 1), ("1996-05-02", "19960502_LOW_000000000003.xlsx", 2)]
