@@ -126,7 +126,8 @@ def _buckets(fingerprints: DataFrame, bucket_limit: int, keep: Callable[[DataFra
     for width in (32, 16, 0):
         # buckets with nobody at home, or one row at all, link nothing
         busy = rows.groupBy("key").agg(F.count("*").alias("rows"), F.count_if("home").alias("homes"))
-        here = keep(rows.join(busy.where("homes > 0 and rows > 1"), "key").select("fp", "key", "home", "at", "rows"))
+        # never broadcast: the rows' size is taken for that of the fingerprints they were exploded from
+        here = keep(rows.hint("merge").join(busy.where("homes > 0 and rows > 1"), "key").select("fp", "key", "home", "at", "rows"))
         hot = F.col("rows") > bucket_limit
         yield (here.where(~hot) if width else here).select("fp", "key", "home")
         if not width or here.where(hot).isEmpty():

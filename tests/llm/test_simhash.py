@@ -1,10 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gridseries.llm import simhash
-from gridseries.llm.common import components
+from gridseries.llm.common import components, cut, stored_tables
 
 
 def brute_components(fps):
@@ -108,3 +109,25 @@ def brute_any(fps):
         if (new == label).all():
             return label.tolist()
         label = new
+
+
+@pytest.mark.parametrize("parquet", [False, True])
+def test_exploded_fingerprints_are_never_broadcast(spark, parquet):
+    """The threshold lies above the size of the fingerprints, but below that of the segments looked up."""
+    random.seed(4)
+    fps = spark.createDataFrame([(random.getrandbits(63),) for _ in range(1000)] + [(k,) for k in range(1000)], "fp long")
+    key, plans = "spark.sql.autoBroadcastJoinThreshold", []
+    spark.conf.set(key, "100000")
+    try:
+        with stored_tables(spark) as stored:
+
+            def keep(frame):
+                assert frame.collect()
+                plans.append(frame._jdf.queryExecution().executedPlan().toString())
+                return stored(frame) if parquet else cut(frame)
+
+            for rows in simhash._buckets(fps, 8, keep):
+                rows.count()
+    finally:
+        spark.conf.unset(key)
+    assert len(plans) == 3 and all("SortMergeJoin" in p and "BroadcastHashJoin" not in p for p in plans)
