@@ -25,7 +25,7 @@ from gridseries.llm.common import arrow_rows, components, cut, stored_tables, te
 from gridseries.llm.simhash import forest, majority
 
 SEED = 42
-#: So many candidate pairs are broadcast to the scan that fetches their texts (a few dozen MB); more are joined by a shuffle.
+#: So many candidate pairs are broadcast to the scan that fetches their texts (115 MB); more are joined by a shuffle.
 MOST_BROADCAST = 500_000
 #: Places of the bitmap that stands beside bucket members.
 SKETCH_BITS = 512
@@ -151,7 +151,8 @@ def _verified(
     u, v = (kinds.select(F.col("kind").alias(k), F.struct("n", "bits").alias(f"{k}_set")) for k in ("u", "v"))
     pairs = pairs.select(F.greatest("kind", "kind2").alias("u"), F.least("kind", "kind2").alias("v")).distinct()
     pairs = stored(pairs.join(u, "u").join(v, "v").where(_likely_column(F.col("u_set"), F.col("v_set"), percent)).select("u", "v"))
-    wanted = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("kind")).join(kinds.select("kind", "rep"), "kind")
+    # joins of what is exploded, packed by Parquet or holds arrays are never broadcast: Spark takes these for smaller than they are
+    wanted = pairs.select("u", "v", F.explode(F.array("u", "v")).alias("kind")).hint("merge").join(kinds.select("kind", "rep"), "kind")
     wanted = wanted.select("u", "v", "kind", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"))
     if pairs.count() <= MOST_BROADCAST:
         wanted = F.broadcast(wanted)
@@ -246,9 +247,9 @@ def _near_copies(
     ).select("kind", F.explode("tries.kind2").alias("kind2"))
     roots = joined(some)
     # whatever is left: all pairs of a bucket that the first shared member, sizes and bitmaps allow
-    here = stored(unsettled(here).join(kinds.select("kind", "sketch"), "kind").select("token", "kind", "n", "pos", "root", "sketch"))
+    here = stored(unsettled(here).hint("merge").join(kinds.select("kind", "sketch"), "kind").select("token", "kind", "n", "pos", "root", "sketch"))
     other = here.select("token", *[F.col(c).alias(f"{c}2") for c in ("kind", "n", "pos", "root", "sketch")])
-    rest = here.join(other, "token").where((F.col("root") < F.col("root2")) & _possible(percent) & _sketches_near(percent))
+    rest = here.hint("merge").join(other, "token").where((F.col("root") < F.col("root2")) & _possible(percent) & _sketches_near(percent))
     roots = joined(rest)
     rooted = kinds.join(roots, kinds["kind"] == roots["node"], "left").select(
         "kind", "least_id", F.coalesce("root", "kind").alias("root")
