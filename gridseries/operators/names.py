@@ -8,7 +8,8 @@ compared character by character, so pairs decide how many texts are compared, ne
 
 Names that are numbered share most of their pairs. So the search for the nearest names goes down a tree of
 prefixes instead: of the prefixes of a level those stay that some beginning of the word is near enough to, with
-what the rests differ in length at least, and only their children are looked at. No text in reach is left out.
+what the rests differ in length at least, and only their children are looked at. Where the edits are spent, the rest
+of the word must follow as it stands, and its next piece is looked up by equality. No text in reach is left out.
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ MOST_NAMED = 2_000
 SCAN_BLOCK = 50_000
 #: A level of prefixes is the longest one with at most so many times the prefixes of the level before.
 FANOUT = 10
+#: Levels of at most so many prefixes are broadcast: few first prefixes belong to all words, so words are not dealt by them.
+MOST_SENT = 50_000
+#: Words that one task takes down the tree at most.
+WORDS_IN_TASK = 1_000
 #: Lengths that a level may have; texts that are equal up to the last one are compared one by one.
 LENGTHS = (*range(1, 65), *range(80, 1025, 16))
 
@@ -66,18 +71,47 @@ def _levels(texts: DataFrame) -> list[int]:
     return levels
 
 
-def _in_reach(percent: int) -> Column:
-    """Whether a text that begins with ``prefix`` may reach the ratio to ``word``: some beginning of the word
-    against the prefix, and the least difference in length of the rests (``least, most``: lengths of the texts)."""
-    size, done = F.length("word"), F.length("prefix")
-    edits = _edits(F.greatest(size, F.least("most", F.floor(size * 100 / percent).cast("int"))), percent)
+def _ways(percent: int) -> Column:
+    """How a text that begins with ``prefix`` may reach the ratio to ``word``: array of ``at, apart``, for so many first
+    characters of the word their distance to the prefix, if that and the least difference in length of the rests
+    (``least, most``: lengths of the texts) are no more than ``edits``."""
+    size, done, edits = F.length("word"), F.length("prefix"), _most_edits(percent)
+    begins = F.sequence(F.greatest(F.lit(0), F.least(size, done - edits)), F.least(size, done + edits))
+    begins = F.filter(begins, lambda j: F.abs(j - done) + _rest(j) <= edits)
+    apart = lambda j: F.call_function("levenshtein", F.substring("word", F.lit(1), j), F.col("prefix"), edits - _rest(j))
+    return F.filter(F.transform(begins, lambda j: F.struct(j.alias("at"), apart(j).alias("apart"))), lambda x: x["apart"] >= 0)
 
-    def fewest(j: Column) -> Column:
-        left, apart = size - j, F.levenshtein(F.substring("word", F.lit(1), j), F.col("prefix"))
-        return apart + F.greatest(F.lit(0), left - (F.col("most") - done), F.col("least") - done - left)
 
-    begins = F.sequence(F.greatest(F.lit(0), F.least(size, done - edits)), F.least(size, done + edits))
-    return F.exists(begins, lambda j: fewest(j) <= edits)
+def _most_edits(percent: int) -> Column:
+    """Most edits that any text of lengths up to ``most`` may need to ``word``."""
+    size = F.length("word")
+    return _edits(F.greatest(size, F.least("most", F.floor(size * 100 / percent).cast("int"))), percent)
+
+
+def _rest(at: Column) -> Column:
+    """Least difference in length of what follows the first ``at`` characters of the word, and the prefix in the texts."""
+    left, done = F.length("word") - at, F.length("prefix")
+    return F.greatest(F.lit(0), left - (F.col("most") - done), F.col("least") - done - left)
+
+
+def _lookups(percent: int, step: int | None) -> Column:
+    """What a text's next ``step`` characters (None: all) may be, as keys: ``p`` and the prefix, for anything, or ``x``,
+    the prefix and the piece. The latter if no way has an edit left but for characters of the word that the text has not."""
+    done, edits = F.length("prefix"), _most_edits(percent)
+
+    def spent(way: Column) -> Column:
+        left = F.length("word") - way["at"]
+        none = (way["apart"] + _rest(way["at"]) == edits) & (left >= F.col("least") - done)
+        return none if step == 1 else none & (left <= F.col("most") - done)
+
+    def keys(ways: Column) -> Column:
+        piece = lambda way: F.substring("word", way["at"] + 1, F.length("word") if step is None else F.lit(step))
+        fixed = F.forall(ways, spent) if step is None else (F.col("least") >= done + step) & F.forall(ways, spent)
+        exact = F.array_distinct(F.transform(ways, lambda way: F.concat(F.lit("x"), "prefix", piece(way))))
+        return F.when(F.size(ways) == 0, F.array().cast("array<string>")).when(fixed, exact).otherwise(F.array(F.concat(F.lit("p"), "prefix")))
+
+    # inside a lambda the ways are found once, not for each use
+    return F.flatten(F.transform(F.array(_ways(percent)), keys))
 
 
 class NameIndex:
@@ -88,7 +122,8 @@ class NameIndex:
         self.spark, self.path = spark, path.rstrip("/")
         self.names, self.postings, self.counts = (spark.read.parquet(f"{self.path}/{t}") for t in ("names", "postings", "counts"))
         self.prefixes = spark.read.schema("parent string, prefix string, least int, most int, level int").parquet(f"{self.path}/prefixes")
-        self.levels = sorted(r["level"] for r in self.prefixes.select("level").distinct().collect())
+        self.sizes = {r["level"]: r["count"] for r in self.prefixes.groupBy("level").count().collect()}
+        self.levels = sorted(self.sizes)
 
     @classmethod
     def build(cls, entries: DataFrame, path: str, key: str = "key", text: str = "text") -> NameIndex:
@@ -152,17 +187,31 @@ class NameIndex:
 
     def walked(self, words: DataFrame, percent: int) -> DataFrame:
         """What :meth:`within` gives, of distinct words without nulls, by the tree of prefixes."""
-        front = words.select("word").repartition("word").withColumn("prefix", F.lit(""))
-        for level in self.levels:
-            children = self.prefixes.where(F.col("level") == level).drop("level")
+        if not self.levels:
+            return self._scored(self.names.crossJoin(words.select("word")), percent)
+        # a number of its own, as Spark would put these few bytes into one task
+        tasks = max(self.spark.sparkContext.defaultParallelism, -(-words.count() // WORDS_IN_TASK))
+        met = words.select("word").repartition(tasks, "word")
+        for level, after in zip(self.levels, [*self.levels[1:], None], strict=True):
+            children = self.prefixes.where(F.col("level") == level)
             if level == self.levels[0]:  # about FANOUT prefixes, or the different first characters
-                met = front.drop("prefix").crossJoin(F.broadcast(children))
+                met = met.crossJoin(F.broadcast(children.select("prefix", "least", "most")))
             else:
-                met = front.withColumnRenamed("prefix", "parent").join(children, "parent")
-            front = met.where(_in_reach(percent)).select("word", "prefix")
-        last = self.levels[-1] if self.levels else 0
-        stems = self.names.withColumn("prefix", F.substring("text", F.lit(1), F.lit(last)))
-        return self._scored(stems.join(front, "prefix"), percent)
+                keys = F.explode(F.array(F.concat(F.lit("p"), "parent"), F.concat(F.lit("x"), "prefix")))
+                children = children.select(keys.alias("key"), "prefix", "least", "most")
+                met = met.join(F.broadcast(children) if self.sizes[level] <= MOST_SENT else children.hint("merge"), "key")
+            keys = F.explode_outer(_lookups(percent, after and after - level))
+            met = met.select("word", keys.alias("key")).where("key is not null")
+        path = f"{self.path}/searches/{uuid.uuid4().hex}"
+        met.write.parquet(path)
+        met = self.spark.read.schema("word string, key string").parquet(path)
+        if met.isEmpty():
+            return self._scored(self.names.crossJoin(words.select("word").limit(0)), percent)
+        rest, parts = met.select("word", F.substring("key", F.lit(2), F.length("key")).alias("begin"), F.substring("key", 1, 1).alias("kind")), []
+        for kind, begin in (("p", F.substring("text", F.lit(1), F.lit(self.levels[-1]))), ("x", F.col("text"))):
+            asked = rest.where(F.col("kind") == kind).select("word", "begin").hint("merge")
+            parts.append(self.names.withColumn("begin", begin).join(asked, "begin").drop("begin"))
+        return self._scored(parts[0].unionByName(parts[1]), percent)
 
     def everything(self, words: DataFrame) -> DataFrame:
         """``word, key, score`` of all keys: the words meet all texts, block by block."""
