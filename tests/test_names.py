@@ -125,3 +125,14 @@ def test_numbered_names_are_met_by_few(spark):
     got = index.nearest(spark.createDataFrame([(f"staton#{i:08}",) for i in range(0, 20_000, 500)], "word string"), 1).collect()
     assert len(got) == 40 and all(r["key"] == f"station#{r['word'][7:]:0>9}" for r in got)
     assert sum(n for _, n in met) < 40 * 500  # by pairs a bound of 75 made nearly all 40 * 20,000 of them
+
+
+def test_words_are_dealt_to_tasks_and_spent_edits_looked_up(spark, monkeypatch):
+    monkeypatch.setattr(names, "WORDS_IN_TASK", 5, raising=False)
+    known = spark.range(20_000).select(F.concat(F.lit("station#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("key"))
+    index = names.NameIndex.build(known.withColumn("text", F.col("key")), folder())
+    words = spark.createDataFrame([(f"staton#{i:08}",) for i in range(0, 20_000, 400)], "word string")
+    index.walked(words, 85)
+    written = spark.read.parquet(f"{index.path}/searches/*")
+    assert written.select(F.input_file_name()).distinct().count() > 5
+    assert written.where("key like 'x%'").count() > written.where("key like 'p%'").count()
